@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, pii, secrets_scan, url_filter
+from . import bpe, minhash, nn_descent, packing, pii, secrets_scan, substring, url_filter
 
 QUERIES = {
+    "op2_substring": substring.op2_substring,
     "op3_url_filter": url_filter.op3_url_filter,
     "op5_packing": packing.op5_packing,
     "op6_pii": pii.op6_pii,
+    "op7_nn_descent": nn_descent.op7_nn_descent,
     "op8_secrets": secrets_scan.op8_secrets,
+    "op9_minhash": minhash.op9_minhash,
     "op10_bpe": bpe.op10_bpe,
 }
 
