@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from . import common
 
 TOKENIZER = "byte_bpe_50k.json"
-WORDS = 65536
-CACHE = 400_000
+WORDS = 200_000
+CACHE = 600_000
 #: A task's distinct words are counted in parts of so many.
 COUNTED = 300_000
 
@@ -56,10 +56,13 @@ class Model:
         for i, p in pieces.items():
             if len(p) == 1:
                 self.single[p[0]] = i
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        # Ids are paired into one number; merges are known by rank.
+        self.pairs: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(said["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs[vocab[a], vocab[b]] = rank, vocab[a + b]
+            self.pairs[vocab[a] << 32 | vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         self.bytes_of = pieces | {i: t.encode() for t, i in self.special.items()}
         self.words = regex.compile(public_tokenizers.PATTERN).findall
@@ -70,34 +73,35 @@ class Model:
         ids = [self.single[b] for b in word]
         if len(ids) > 64:
             return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-                if (found := pairs.get(pair)) and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        get, none = self.pairs.get, len(self.made)
+        ranks = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            ids[at] = new = self.made[best]
+            del ids[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(new << 32 | ids[at + 1], none)
+            if at:
+                ranks[at - 1] = get(ids[at - 1] << 32 | new, none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for long words, by a heap over a linked list."""
         n, pairs = len(ids), self.pairs
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(f[0], i, ids[i], ids[i + 1], f[1]) for i in range(n - 1) if (f := pairs.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = made, -1, after[j]
+            ids[i], ids[j], after[i] = self.made[rank], -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (f := pairs.get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (f[0], x, ids[x], ids[y], f[1]))
+                if x >= 0 and y >= 0 and (r := pairs.get(ids[x] << 32 | ids[y])) is not None:
+                    heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return [x for x in ids if x >= 0]
 
 
@@ -258,12 +262,28 @@ def word_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, path: str, text_col: str, words: int) -> list[str]:
+    """The most frequent words, ``words`` at most: those of a count above which there are no more.
+
+    The cut is found from a histogram of counts by sixteenths of a power of two, so that only the
+    words themselves reach the driver.
+    """
+    counts = common.written(word_counts(docs, path, text_col).withColumn("size", F.floor(16 * F.log2("n")).cast("int")), "counts")
+    total, cut = 0, None
+    for size, n in sorted(((r["size"], r["n"]) for r in counts.groupBy("size").agg(F.count("*").alias("n")).select("size", "n").collect()), reverse=True):
+        total += n
+        if total > words:
+            break
+        cut = size
+    out = [] if cut is None else [r.word for r in counts.where(F.col("size") >= cut).select("word").collect()]
+    common.removed(docs.sparkSession, counts)
+    return out
+
+
 def lexicon_for(docs: DataFrame, path: str, text_col: str = "text", words: int = WORDS) -> str:
     """Compile the most frequent words into a file of the shared folder; its name for SparkFiles."""
-    spark = docs.sparkSession
-    top = word_counts(docs, path, text_col).orderBy(F.desc("n"), "word").limit(words)
-    model = model_at(path)
-    data = compiled([(w, model.merge(w)) for w in (r.word.encode() for r in top.select("word").collect())])
+    spark, model = docs.sparkSession, model_at(path)
+    data = compiled([(w, model.merge(w)) for w in map(str.encode, frequent_words(docs, path, text_col, words))])
     name = f"lexicon-{uuid.uuid4().hex[:12]}.bin"
     where = f"{common.shared_path(spark, 'lexicon')}/{name}"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
