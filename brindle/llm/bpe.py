@@ -21,6 +21,7 @@ import heapq
 import json
 import mmap
 import os
+import re
 import struct
 import uuid
 from collections import Counter
@@ -43,6 +44,18 @@ CACHE = 600_000
 COUNTED = 300_000
 
 
+# The pattern for texts below U+0250, with its classes of letters, numbers and white space spelt out.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_LATIN = re.compile("[\x00-\u024f]*\\Z").match
+_LATIN_WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+_ANY_WORDS = regex.compile(public_tokenizers.PATTERN).findall
+
+
+def words_in(text: str) -> list[str]:
+    """The pre-tokens of a text; the standard library's engine takes half the time where it may."""
+    return _LATIN_WORDS(text) if _LATIN(text) else _ANY_WORDS(text)
+
+
 class Model:
     """A byte-level BPE vocabulary: exact merging of one word, and bytes of ids."""
 
@@ -65,7 +78,7 @@ class Model:
             self.made.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         self.bytes_of = pieces | {i: t.encode() for t, i in self.special.items()}
-        self.words = regex.compile(public_tokenizers.PATTERN).findall
+        self.words = words_in
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
 
     def merge(self, word: bytes) -> list[int]:

@@ -212,6 +212,17 @@ def test_bpe_on_any_text(text):
     assert codec.decode(codec.encode(text)) == TOKENIZER.decode(ids, skip_special_tokens=False)
 
 
+def test_latin_pattern_cuts_alike():
+    every = "".join(f"a{chr(c)} {chr(c)}{chr(c)}1{chr(c)} '{chr(c)}\n" for c in range(0x250))
+    assert bpe.words_in(every) == bpe._ANY_WORDS(every)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=60))
+def test_latin_pattern_on_any_text(text):
+    assert bpe.words_in(text) == bpe._ANY_WORDS(text)
+
+
 def test_long_words_merge_alike():
     model = bpe.model_at(public_tokenizers.path("byte_bpe_50k.json"))
     for word in ("ab" * 3000, "x" * 5000, "the" * 40, "qwertyuiop" * 30):
