@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,45 @@ def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
 def utf8(column: pa.Array) -> list[bytes]:
     """A string column as bytes, a null as an empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of equal values in the first column, in parts of at most ``limit`` rows."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
+        start = 0
+        for end in ends:
+            last = end == len(keys)
+            while end - start >= limit or (not last and end > start):
+                n = min(limit, end - start)
+                yield batch.slice(start, n)
+                start += n
+        held = batch.slice(start)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def in_groups(df: DataFrame, key: str, schema: str, fn: Callable[[pa.RecordBatch], dict | None], limit: int) -> DataFrame:
+    """``fn`` over the rows of each key (a long, the first column), in parts of ``limit`` rows."""
+    fields = _arrow(df.sparkSession, schema)
+    size = 20_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
+        for part in _grouped(batches, limit):
+            out = fn(part)
+            if out is not None and len(out[fields.names[0]]):
+                waiting.append(out)
+                rows += len(out[fields.names[0]])
+            if rows >= size:
+                yield pa.RecordBatch.from_pydict({k: np.concatenate([w[k] for w in waiting]) for k in fields.names}, schema=fields)
+                waiting, rows = [], 0
+        if waiting:
+            yield pa.RecordBatch.from_pydict({k: np.concatenate([w[k] for w in waiting]) for k in fields.names}, schema=fields)
+
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)

@@ -16,12 +16,15 @@ with the smallest id as representative, so copies are never paired. Among repres
 2. pairs are verified on the texts (plain Jaccard of the shingle sets >= THRESHOLD) and linked;
    components follow;
 3. what is left are pairs of one bucket in different components. Buckets of up to SMALL texts yield
-   all of those; a larger one is dealt to smaller buckets by each further band that its members
-   share, and those yield all of theirs. Pairs within a component need no check, since they can't
-   change a class. Verified pairs are linked and components computed again.
+   all of those to be verified. Larger ones are joined into families (texts that share a large
+   bucket, directly or by others); a family's texts are compared exactly, block by block, texts of
+   too different sizes apart, and of the links found a block returns a spanning forest only, so
+   the work may grow with a family's square but what is shuffled and returned does not. Pairs
+   within a component need no check, since they can't change a class. Components are then
+   computed again over all links.
 
-Two texts at the threshold share no band at all with a probability of 7e-5, and fewer than two
-bands with 9e-4 (both less above it); nothing else is lost, and no bucket is cut off.
+Two texts at the threshold share no band with a probability of 7e-5 (less above it); nothing else
+is lost, and no bucket is cut off.
 
 Defined results: a null id, and a text without words (null, empty, white space), is in no class
 but its own (class null for a null id) and is kept; a text of fewer than five words has all its
@@ -47,8 +50,9 @@ from .shingles import jaccard, mix, shingles, word_hashes
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-#: A bucket of more texts is dealt again by its further bands before its pairs are made.
+#: A bucket of more texts yields no pairs; its family is compared in blocks of BLOCK texts.
 SMALL = 64
+BLOCK = 512
 #: Elements whose darts are thrown at once.
 SLICE = 300_000
 
@@ -105,13 +109,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """(id, words, high, low, bands): two hashes of the words, and the band keys."""
+    """(id, words, size, high, low, bands): counts of words and shingles, a hash of the words, the bands."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def of(batch: pa.RecordBatch) -> Iterator[dict]:
         at, ids, texts = 0, batch.column(0), batch.column(1).cast(pa.binary())
         while at < batch.num_rows:
-            held: dict[str, list] = {"words": [], "high": [], "low": []}
+            held: dict[str, list] = {"words": [], "size": [], "high": [], "low": []}
             elements, weights, sizes, first = [], [], [], at
             while at < batch.num_rows and sum(sizes[-1:]) < SLICE and len(sizes) < 500:
                 text = texts[at].as_py() or b""
@@ -121,7 +125,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
                 elements.append(found)
                 weights.append(1 + np.log(counts))
                 sizes.append(len(found))
-                for k, v in zip(held, (len(words), digest >> 64, digest & (1 << 64) - 1), strict=True):
+                for k, v in zip(held, (len(words), len(found), digest >> 64, digest & (1 << 64) - 1), strict=True):
                     held[k].append(v - (1 << 64) if v >= 1 << 63 else v)
                 at += 1
             owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -129,7 +133,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
                 keys = band_keys(signatures(np.concatenate(elements), np.concatenate(weights), owner, len(sizes), bands * rows), bands, rows)
             yield {id_col: ids.slice(first, at - first), **held, "bands": [*keys.view(np.int64)]}
 
-    return common.by_batch(docs.select(id_col, text_col), f"`{id_col}` {kind}, words long, high long, low long, bands array<long>", of)
+    return common.by_batch(docs.select(id_col, text_col), f"`{id_col}` {kind}, words long, size long, high long, low long, bands array<long>", of)
 
 
 @lru_cache(maxsize=64)
@@ -148,56 +152,122 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    left = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    # Texts meet pairs by shuffles at any size; which side could be broadcast isn't left to chance.
+    left = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _dealt(labelled: DataFrame, small: int) -> DataFrame:
-    """Pairs (a, b) of rows (id, comp, bands) that share a band and differ in their component."""
-
-    def mixed(m: DataFrame) -> DataFrame:
-        seen = m.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last"), F.count("*").alias("n"))
-        return m.join(seen.where("first <> last").select(F.col("key").alias("k"), "n"), F.col("key") == F.col("k")).drop("k")
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """(key, id, comp, n): the members of buckets that hold more than one component."""
+    members = labelled.select(F.explode("bands").alias("key"), "id", "comp")
+    seen = members.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last"), F.count("*").alias("n"))
+    return members.join(seen.where("first <> last").select(F.col("key").alias("k"), "n"), F.col("key") == F.col("k")).drop("k")
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    x = members.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a"))
+    y = members.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
+    return x.join(y, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
+
+
+def forest(sets: list[np.ndarray], comps: list, may: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links that join components: pairs (i, j) of sets with ``may[i, j]`` and enough similarity."""
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[at] > 1
+    owner, at = owner[shared], at[shared]
+    _, at = np.unique(at, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    both = np.zeros((n, n), np.float32)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+        part = slice(*np.searchsorted(at, [low, low + 4096]))
+        held = np.zeros((n, 4096), np.float32)
+        held[owner[part], at[part] - low] = 1
+        both += held @ held.T
+    # In whole numbers below 2 ** 24 float32 is exact.
+    near = (both >= threshold * (sizes[:, None] + sizes - both) - 1e-6) & may
+    root = {c: c for c in comps}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(near | near.T, 1)), strict=True):
+        x, y = top(comps[i]), top(comps[j])
+        if x != y and jaccard(sets[i], sets[j]) >= threshold:
+            root[x] = y
+            out.append((int(i), int(j)))
+    return out
 
-    def pairs(m: DataFrame) -> DataFrame:
-        x = m.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a"))
-        y = m.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-        return x.join(y, "key").where("a < b and comp_a <> comp_b").select("a", "b")
 
-    held = common.written(mixed(labelled.select(F.explode("bands").alias("key"), "id", "comp")), "buckets")
-    large = held.where(F.col("n") > small).select("key", "id")
-    again = large.join(labelled, "id").select(F.explode("bands").alias("other"), "key", "id", "comp").where("other <> key")
-    again = again.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id", "comp").distinct()
-    again = common.written(mixed(again).drop("n"), "buckets")
-    return pairs(held.where(F.col("n") <= small)).unionByName(pairs(again)).distinct()
+def _within_families(large: DataFrame, labelled: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b): links across components among the texts of large buckets (key, id)."""
+    hubs = large.groupBy("key").agg(F.min("id").alias("hub"))
+    nodes = components(large.join(hubs, "key").select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    # Similar texts have sizes within the threshold: of the same class, or of the next one.
+    step = F.floor(F.log(F.col("size")) / math.log(1 / threshold) + 1e-9).cast("int")
+    held = labelled.select("id", "comp", "size").join(nodes, F.col("id") == F.col("node")).select("id", "comp", F.col("component").alias("family"), step.alias("step"))
+    held = held.select("id", "comp", "family", F.explode(F.array(F.struct(F.col("step").alias("at"), F.lit(0).alias("guest")), F.struct((F.col("step") + 1).alias("at"), F.lit(1).alias("guest")))).alias("e")).select("id", "comp", "family", "e.*")
+    held = common.written(held, "families")
+    sizes = held.groupBy("family", "at").agg(F.count("*").alias("n"), F.min("comp").alias("first"), F.max("comp").alias("last"), F.min("guest").alias("home"))
+    sizes = sizes.where("first <> last and home = 0").select(F.col("family").alias("f"), F.col("at").alias("s"), "n")
+    held = held.join(sizes, (F.col("family") == F.col("f")) & (F.col("at") == F.col("s")))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    held = held.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    key = F.xxhash64("family", "at", F.least("own", "with"), F.greatest("own", "with"))
+    held = held.select(key.alias("key"), "id", "comp", "guest", "own", (F.col("own") == F.col("with")).alias("alone"))
+    held = held.join(texts.hint("merge"), "id").select("key", "id", "comp", "guest", "own", "alone", "text")
+    kind = labelled.schema["id"].dataType.simpleString()
+
+    def links(part: pa.RecordBatch) -> dict | None:
+        comps = part.column(2).to_pylist()
+        if len(set(comps)) < 2:
+            return None
+        ids, guest, own, alone = (part.column(i).to_numpy(zero_copy_only=False) for i in (1, 3, 4, 5))
+        sets = [shingles(word_hashes(x.as_py()))[0] for x in part.column(6).cast(pa.binary())]
+        may = (guest[:, None] == 0) | (guest == 0)
+        may &= alone[:, None] | (own[:, None] != own)
+        found = forest(sets, comps, may, threshold)
+        return {"a": ids[[i for i, _ in found]], "b": ids[[j for _, j in found]]} if found else None
+
+    return common.in_groups(held, "key", f"a {kind}, b {kind}", links, 16 * block)  # hashing keeps blocks well below this
 
 
 def classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS,
-    rows: int = ROWS, small: int = SMALL,
+    rows: int = ROWS, small: int = SMALL, block: int = BLOCK,
 ) -> DataFrame:
     """A row for each row of ``docs``: its id, ``class_id`` (the smallest id of its class) and ``kept``."""
     spark = docs.sparkSession
     held = common.written(signed(docs, id_col, text_col, bands, rows).withColumnRenamed(id_col, "id"), "signatures")
     alive = held.where("id is not null and words > 0")
     # Texts of equal words: one class, the smallest id stands for it.
-    copies = common.written(alive.groupBy("high", "low").agg(F.min("id").alias("id"), F.min("bands").alias("bands")), "copies")
-    reps = copies.select("id", "bands")
+    copies = common.written(alive.groupBy("high", "low").agg(F.min("id").alias("id"), F.min("size").alias("size"), F.min("bands").alias("bands")), "copies")
+    reps = copies.select("id", "size", "bands")
     keys = reps.select("id", F.explode("bands").alias("key"))
     hubs = common.written(keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "hubs")
     first = common.written(keys.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     candidates = hubs.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = common.written(texts.join(candidates, "id", "left_semi"), "texts")
+    texts = common.written(texts.join(candidates.hint("merge"), "id", "left_semi"), "texts")
     links = common.written(verified(first, texts, threshold), "links")
     nodes = components(links)
     # Pairs across components.
     labelled = reps.join(candidates, "id", "left_semi").join(nodes, F.col("id") == F.col("node"), "left")
-    labelled = common.written(labelled.select("id", F.coalesce("component", "id").alias("comp"), "bands"), "labelled")
-    rest = common.written(_dealt(labelled, small).join(first, ["a", "b"], "left_anti"), "rest")
-    held_texts = texts.join(rest.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
-    more = common.written(verified(rest, held_texts, threshold), "links")
+    labelled = common.written(labelled.select("id", F.coalesce("component", "id").alias("comp"), "size", "bands"), "labelled")
+    mixed = common.written(_mixed(labelled), "buckets")
+    rest = common.written(_pairs(mixed.where(F.col("n") <= small)).join(first, ["a", "b"], "left_anti"), "rest")
+    held_texts = texts.join(rest.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge"), "id", "left_semi")
+    large = mixed.where(F.col("n") > small).select("key", "id")
+    more = verified(rest, held_texts, threshold).unionByName(_within_families(large, labelled, texts, threshold, block))
+    more = common.written(more, "links")
     if not more.isEmpty():
         nodes = components(links.unionByName(more))
     comp = reps.select("id").join(nodes, F.col("id") == F.col("node"), "left").select(F.col("id").alias("rep"), F.coalesce("component", "id").alias("class_id"))
@@ -205,7 +275,7 @@ def classes(
     out = held.join(of_copy, ["high", "low"], "left")
     class_id = F.when(F.col("words") > 0, F.when(F.col("id").isNotNull(), F.col("class_id"))).otherwise(F.col("id"))
     out = out.select(F.col("id").alias(id_col), class_id.alias("class_id"))
-    for df in (hubs, first, texts, labelled, rest):
+    for df in (hubs, first, texts, labelled, mixed, rest):
         common.removed(spark, df)
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("class_id"), F.lit(True)))
 

@@ -24,7 +24,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,48 +51,6 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return v
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Runs of equal values in the first column, in parts of at most ``limit`` rows."""
-    held: pa.RecordBatch | None = None
-    for batch in batches:
-        batch = batch if held is None else pa.concat_batches([held, batch])
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy()
-        ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
-        start = 0
-        for end in ends:
-            last = end == len(keys)
-            while end - start >= limit or (not last and end > start):
-                n = min(limit, end - start)
-                yield batch.slice(start, n)
-                start += n
-        held = batch.slice(start)
-    if held is not None and held.num_rows:
-        yield held
-
-
-def _in_groups(df: DataFrame, key: str, schema: str, fn: Callable[[pa.RecordBatch], dict | None], limit: int) -> DataFrame:
-    """``fn`` over the rows of each key (a long, the first column), in parts of ``limit`` rows."""
-    fields = common._arrow(df.sparkSession, schema)
-    size = 20_000
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, rows = [], 0
-        for part in _grouped(batches, limit):
-            out = fn(part)
-            if out is not None and len(out[fields.names[0]]):
-                waiting.append(out)
-                rows += len(out[fields.names[0]])
-            if rows >= size:
-                yield pa.RecordBatch.from_pydict({k: np.concatenate([w[k] for w in waiting]) for k in fields.names}, schema=fields)
-                waiting, rows = [], 0
-        if waiting:
-            yield pa.RecordBatch.from_pydict({k: np.concatenate([w[k] for w in waiting]) for k in fields.names}, schema=fields)
-
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
-
-
 def _nearest(sims: np.ndarray, k: int) -> np.ndarray:
     """The k columns of the largest values of each row, in any order."""
     return np.argpartition(-sims, k - 1, axis=1)[:, :k] if k < sims.shape[1] else np.broadcast_to(np.arange(sims.shape[1]), sims.shape)
@@ -156,7 +114,7 @@ def _start(nodes: DataFrame, n: int, k: int) -> DataFrame:
         at = _nearest(sims, min(k, len(ids) - 1))
         return {"id": np.repeat(ids, at.shape[1]), "other": ids[at].ravel(), "sim": np.take_along_axis(sims, at, 1).ravel()}
 
-    return _in_groups(rows, "key", f"id {kind}, other {kind}, sim double", best, BLOCK)
+    return common.in_groups(rows, "key", f"id {kind}, other {kind}, sim double", best, BLOCK)
 
 
 def _lists(edges: DataFrame, k: int) -> DataFrame:
@@ -192,7 +150,7 @@ def _round(nodes: DataFrame, graph: DataFrame, k: int, turn: int) -> DataFrame:
         held = np.take_along_axis(better, at, 1) & (np.take_along_axis(sims, at, 1) > -2)
         return {"id": np.repeat(ids, at.shape[1])[held.ravel()], "other": ids[at][held], "sim": np.take_along_axis(sims, at, 1)[held]}
 
-    return _in_groups(meet, "key", f"id {kind}, other {kind}, sim double", best, BLOCK)
+    return common.in_groups(meet, "key", f"id {kind}, other {kind}, sim double", best, BLOCK)
 
 
 def _refined(nodes: DataFrame, graph: DataFrame, n: int, k: int, rounds: int) -> DataFrame:
@@ -233,7 +191,7 @@ def _counted(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFram
             out[at : at + 512] = near @ m
         return {"id": ids, "degree": out}
 
-    return _in_groups(held, "key", f"id {kind}, degree long", count, cap).groupBy("id").agg(F.sum("degree").alias("degree"))
+    return common.in_groups(held, "key", f"id {kind}, degree long", count, cap).groupBy("id").agg(F.sum("degree").alias("degree"))
 
 
 def _audit(nodes: DataFrame, edges: DataFrame, whole: DataFrame, threshold: float, audit: int) -> tuple[int, int]:

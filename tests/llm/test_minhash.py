@@ -46,7 +46,7 @@ def test_chains_and_large_buckets(spark, small):
         words[rng.integers(0, 120)] = f"x{i}"
     rows += [(i, " ".join(["a", "line", "all", "share", "here", "and", *(f"y{rng.integers(0, 10**6)}" for _ in range(9))])) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in minhash.classes(df, small=small).collect()}
+    got = {r.doc_id: r.class_id for r in minhash.classes(df, small=small, block=16).collect()}
     assert got == brute_classes(rows)
 
 
@@ -76,9 +76,10 @@ def test_odd_rows(odd, empty):
     assert {(r.doc_id, r.class_id, r.kept) for r in got} == {(None, None, True)} | {(i, i, True) for i in range(1, 8)}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1000])
+def test_components(spark, local):
     edges = [(i, i + 1) for i in range(50)] + [(100 + i, 100) for i in range(1, 40)] + [(7, 7), (200, 201), (201, 200), (None, 3)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), local=local).collect()}
     want = {i: 0 for i in range(51)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), local=local).count() == 0
