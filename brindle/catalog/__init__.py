@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from . import feeds, measures  # noqa: E402, F401  (they register)
+from . import feeds, measures, reports  # noqa: E402, F401  (they register)
