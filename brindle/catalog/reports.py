@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from .. import model
 from ..functions import scalars as S
 from ..model import Tables, landed
-from ..operators import deid, documents, measures, merge, monitoring
+from ..operators import deid, documents, leakgate, measures, merge, monitoring
+from ..plans import rules
 from ..sources import files
 from ..streaming import flows
 from . import feeds, query
@@ -224,3 +225,48 @@ query("stream_tumbling_counts", "select date_trunc('day', ts) as window_start, e
 query("stream_incremental_merge", "select user_id, event_id, event_type, value, props, ts from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")(
     lambda t: flows.merged(flows.arriving(t.spark, t.sf_dir, "events.parquet", t.events), flows.work_folder(t.spark), "users", ["user_id"], ["ts", "event_id"])
 )
+
+# --- the copy for demonstrations and the gate before it
+
+POLICY = {"attribution.care_manager_name": "digest", "demographics.birth_date": "shift_date", "visits[].appt_date": "shift_date", "screenings.*.screen_date": "shift_date", "labs.*.collected_date": "shift_date", "measures[].detail": "drop", "gaps[].detail": "drop"}
+
+
+def _crosswalk(t: Tables) -> DataFrame:
+    """Surrogates by digest: the same in every run, and no draw on the driver at this size."""
+    return t.patients.select(F.lit("patient").alias("kind"), F.col("patient_id").alias("value"), F.concat(F.lit("X"), F.left(F.sha2(F.concat(F.lit("copy/"), F.col("patient_id")), 256), F.lit(16))).alias("surrogate"))
+
+
+def _copied(t: Tables) -> DataFrame:
+    return leakgate.copied(_patient_documents(t), POLICY, _crosswalk(t))
+
+
+query("demo_site_copy", """
+    select 'X' || substr(sha256('copy/' || p.patient_id), 1, 16) as _id, substr(sha256('copy/' || care_manager_name), 1, 12) as care_manager, birth_date + s as birth_date, v.last + s as last_visit, coalesce(v.n, 0) as visits
+    from (select *, -(cast('0x' || substr(md5(patient_id), 1, 6) as integer) % 180) - 1 as s from patients) p left join (select patient_id, count(*) as n, max(appt_date) as last from appointments where status = 'completed' group by patient_id) v on v.patient_id = p.patient_id""")(
+    lambda t: _copied(t).select("_id", F.col("attribution.care_manager_name").alias("care_manager"), "demographics.birth_date", F.try_element_at("visits", F.lit(-1))["appt_date"].alias("last_visit"), F.size("visits").cast("long").alias("visits"))
+)
+
+
+def _gate(t: Tables) -> DataFrame:
+    docs = landed(_patient_documents(t), "documents")
+    copy = leakgate.copied(docs, POLICY, _crosswalk(t))
+    real = t.patients.select(F.lit("record").alias("kind"), F.col("patient_id").alias("value")).unionByName(t.patients.select(F.lit("name").alias("kind"), F.lower("patient_name").alias("value")))
+    last = F.try_element_at("visits", F.lit(-1))["appt_date"]
+    checks = leakgate.text_checks(copy, real)
+    checks.append(leakgate._check("every patient differs", copy.join(docs.select("_id"), "_id", "left_semi")))
+    checks.append(leakgate._check("one shift", leakgate.same_shift(docs, copy, _crosswalk(t), F.col("demographics.birth_date"), last)))
+    paths = {p: "direct_identifier" for p in POLICY}
+    checks.append(t.spark.createDataFrame([("policy covers paths", len(leakgate.uncovered(paths, POLICY)))], "check string, found long"))
+    checks.append(leakgate._check("references resolve", deid.dangling(gaps(t), t.patients, "patient_id")))
+    extract = _extract(t)
+    return leakgate.gate([*checks, *leakgate.extract_checks(extract, [*extract.columns])])
+
+
+_CHECKS = ("record numbers", "e-mail addresses", "phone numbers", "names", "streets", "every patient differs", "one shift", "policy covers paths", "references resolve", "columns allowed", "ages above 89", "areas of three digits")
+query("leak_gate", "select * from (values " + ", ".join(f"('{c}', 0::bigint, true)" for c in _CHECKS) + ") t(\"check\", found, passed)")(_gate)
+query("run_summary", """
+    select o.rule_id, o.action, count(*) filter (outcome = 'pass') as loads_passed, count(*) filter (outcome = 'blocked') as loads_blocked, cast(sum(rows_failed) as bigint) as rows_failed, any_value(e.example) as example
+    from outcomes o left join (select rule_id, min(case when regexp_matches(d, '^[0-9]{7,}$') then repeat('#', length(d)) when regexp_matches(d, '^[0-9]{7,}:.*$') then repeat('#', length(regexp_extract(d, '^[0-9]+'))) || substr(d, length(regexp_extract(d, '^[0-9]+')) + 1) else d end) as example
+        from (select rule_id, trim(detail) as d from found) x group by rule_id) e on e.rule_id = o.rule_id group by o.rule_id, o.action""")(
+    lambda t: monitoring.run_summary(rules.outcomes(feeds.evaluated(t), feeds.CLAIMS), rules.findings(feeds.evaluated(t)))
+)

@@ -36,3 +36,28 @@ def restated(history: DataFrame, key: str, run: str, value: str) -> DataFrame:
 def distinct_errors(messages: DataFrame, column: str) -> DataFrame:
     """Error messages that differ by more than numbers and bracketed details, with an example."""
     return messages.groupBy(normalised_error(column).alias("error")).agg(F.count("*").alias("n"), F.min(column).alias("example"))
+
+
+def run_summary(outcomes: DataFrame, found: DataFrame) -> DataFrame:
+    """By rule: loads it passed, warned in or stopped, its findings, and an example without numbers."""
+    by_rule = outcomes.groupBy("rule_id", "action").agg(
+        F.count_if(F.col("outcome") == "pass").alias("loads_passed"), F.count_if(F.col("outcome") == "blocked").alias("loads_blocked"), F.sum("rows_failed").alias("rows_failed")
+    )
+    example = found.groupBy(F.col("rule_id").alias("r")).agg(F.min(normalised_error("detail")).alias("example"))
+    return by_rule.join(example, F.col("rule_id") == F.col("r"), "left").drop("r")
+
+
+def attention(fresh: DataFrame, issues: DataFrame, changed: DataFrame) -> DataFrame:
+    """What someone has to act on, and what is to be watched."""
+    rows = [
+        fresh.where("stale").select(F.lit("action").alias("list"), F.concat(F.lit("feed "), F.col("feed"), F.lit(" is "), F.lower("timing"), F.lit(", work "), F.lower("work")).alias("what")),
+        issues.where("status = 'open'").select(F.lit("action").alias("list"), F.concat(F.lit("open issue "), F.col("issue"), F.lit(", peak "), F.col("peak").cast("string")).alias("what")),
+        changed.where("restated").select(F.lit("watch").alias("list"), F.concat(F.lit("restated "), F.col("measure")).alias("what")),
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def outstanding(known: DataFrame, loads: DataFrame, held: DataFrame) -> DataFrame:
+    """Work that a run would find, from state alone: files landed, loads unfinished, rows to check again."""
+    count = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("work"), "n")
+    return count(known.where("status = 'landed'"), "landed").unionByName(count(loads.where("not adds_up or rows_blocked > 0"), "unfinished")).unionByName(count(held.where("q_status = 'held'"), "recheck"))
