@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import scalars as S
-from ..model import Tables, landed
+from ..model import Tables, landed, shared
 from ..operators import merge
 from ..plans import rules
 from ..plans.contracts import Contract, Layout, Rule, Source
@@ -36,6 +36,7 @@ CLAIMS = Contract(
 )
 
 
+@shared
 def typed_claims(t: Tables) -> DataFrame:
     day = F.when(F.col("source") == "B", S.parsed_date("fill_date", "M/d/y")).otherwise(S.parsed_date("fill_date", "y-M-d"))
     days = S.text("days_supply")
@@ -46,6 +47,7 @@ def typed_claims(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def evaluated(t: Tables) -> DataFrame:
     staged = landed(typed_claims(t), "staged")
     return landed(rules.evaluated(staged, CLAIMS, t.patients, model.YEAR, model.CLOSED_AFTER), "evaluated")
@@ -55,6 +57,7 @@ def stopped(t: Tables, accepted: tuple[str, ...] = ()) -> DataFrame:
     return rules.outcomes(evaluated(t), CLAIMS, accepted).where("outcome = 'blocked'").select("load_id")
 
 
+@shared
 def judged(t: Tables) -> DataFrame:
     return landed(rules.with_status(evaluated(t), stopped(t)), "judged")
 
@@ -154,6 +157,7 @@ query("upsert_result", "select patient_id, site_id, care_manager_name, row_hash
 )
 
 
+@shared
 def scd2(t: Tables) -> DataFrame:
     out = None
     for no in (1, 2, 3):

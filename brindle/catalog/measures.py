@@ -6,45 +6,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import model
-from ..model import Tables, landed
+from ..model import Tables, landed, shared
 from ..operators import curate, measures
 from . import query
 
 # --- what the queries build on
 
 
+@shared
 def conditions(t: Tables) -> DataFrame:
     return curate.patient_conditions(t.patients)
 
 
+@shared
 def labs(t: Tables) -> DataFrame:
     return curate.lab_results(curate.typed_labs(t.labs_text))
 
 
+@shared
 def screens(t: Tables) -> DataFrame:
     return landed(curate.clean_screens(landed(curate.typed_screens(t.screens_text), "typed")), "screens")
 
 
+@shared
 def events(t: Tables) -> DataFrame:
     return landed(curate.screening_events(screens(t)), "events")
 
 
+@shared
 def fills(t: Tables) -> DataFrame:
     return curate.net_fills(t.claims)
 
 
+@shared
 def facts(t: Tables) -> DataFrame:
     return measures.patient_facts(t.patients, t.appointments, conditions(t))
 
 
+@shared
 def covered(t: Tables) -> DataFrame:
     return measures.days_covered(fills(t))
 
 
+@shared
 def results(t: Tables) -> DataFrame:
     return measures.patient_results(facts(t), t.appointments, events(t), labs(t), covered(t))
 
 
+@shared
 def windows(t: Tables) -> DataFrame:
     return measures.appointment_windows(t.patients, t.appointments)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import scalars as S
-from ..model import Tables, landed
+from ..model import Tables, landed, shared
 from ..operators import deid, documents, leakgate, measures, merge, monitoring
 from ..plans import rules
 from ..sources import files
@@ -24,10 +24,12 @@ def _texts(t: Tables) -> DataFrame:
     return t.documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+@shared
 def _results(t: Tables) -> DataFrame:
     return landed(marts.results(t), "results")
 
 
+@shared
 def gaps(t: Tables) -> DataFrame:
     return measures.care_gaps(t.patients, _results(t), marts.windows(t), marts.events(t))
 
@@ -52,6 +54,7 @@ PIECES |= {
 # --- documents
 
 
+@shared
 def _patient_documents(t: Tables) -> DataFrame:
     return documents.patient_documents(t.patients, t.appointments, marts.events(t), marts.labs(t), gaps(t), _results(t))
 
@@ -100,6 +103,7 @@ def _shifted(t: Tables) -> DataFrame:
     return out.withColumn("days_between", F.datediff("last_shifted", "first_shifted").cast("long"))
 
 
+@shared
 def _extract(t: Tables) -> DataFrame:
     return deid.safe_harbor(marts.facts(t), t.patients, _results(t), MEASURE_IDS, F.lit(model.YEAR_END), ["000", "001"])
 
@@ -231,6 +235,7 @@ query("stream_incremental_merge", "select user_id, event_id, event_type, value,
 POLICY = {"attribution.care_manager_name": "digest", "demographics.birth_date": "shift_date", "visits[].appt_date": "shift_date", "screenings.*.screen_date": "shift_date", "labs.*.collected_date": "shift_date", "measures[].detail": "drop", "gaps[].detail": "drop"}
 
 
+@shared
 def _crosswalk(t: Tables) -> DataFrame:
     """Surrogates by digest: the same in every run, and no draw on the driver at this size."""
     return t.patients.select(F.lit("patient").alias("kind"), F.col("patient_id").alias("value"), F.concat(F.lit("X"), F.left(F.sha2(F.concat(F.lit("copy/"), F.col("patient_id")), 256), F.lit(16))).alias("surrogate"))

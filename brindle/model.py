@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,10 +131,15 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name not in SOURCES and name not in TABLES:
+            raise AttributeError(name)
+        # Kept, so that what is used twice is one plan and its shuffles can be reused.
+        self.__dict__[name] = df = self._made(name)
+        return df
+
+    def _made(self, name: str) -> DataFrame:
         if name in SOURCES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if name not in TABLES:
-            raise AttributeError(name)
         text = TABLES[name]
         df = self.spark.sql(_braced(text), **{t: getattr(self, t) for t in _needs(text)})
         if name.endswith("_text"):
@@ -141,6 +147,19 @@ class Tables:
         return df
 
 
+def shared(fn):
+    """A function of the tables whose DataFrame is made once for each ``Tables``."""
+
+    @wraps(fn)
+    def once(t: Tables) -> DataFrame:
+        key = f"_{fn.__module__}.{fn.__name__}"
+        if key not in t.__dict__:
+            t.__dict__[key] = fn(t)
+        return t.__dict__[key]
+
+    return once
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Rows that stand for a table that was written: what follows sees its columns only.
 

@@ -185,3 +185,58 @@ def test_surrogates_are_remembered(spark):
     said = {r.value: r.surrogate for r in more.collect()}
     assert len(said) == 3 == len(set(said.values())) and "3" not in said.values()
     assert {r.value: r.surrogate for r in first.collect()}.items() <= said.items()
+
+
+def test_planted_defects_are_caught_and_nothing_else(spark, tmp_path):
+    from dataclasses import replace
+
+    from brindle import synth
+    from brindle.catalog.feeds import CLAIMS, STATUS
+
+    inbox = synth.write(tmp_path / "in", weeks=3, rows=120)
+    other = synth.write(tmp_path / "again", weeks=3, rows=120)
+    assert other == inbox and all((tmp_path / "again" / d.name / f.name).read_bytes() == f.read_bytes() for d in (tmp_path / "in").iterdir() for f in d.iterdir())
+    names = ["claim_id", "member_mrn", "fill_date", "drug_name", "days_supply", "claim_status"]
+    layout = Layout(1, {n: "patient_id" if n == "member_mrn" else n for n in names})
+    rules_ = tuple(replace(r, params={k: v for k, v in r.params.items() if k != "block_if_rate_over"}) for r in CLAIMS.rules)
+    contract = replace(CLAIMS, sources=(Source("claims", CLAIMS.sources[0].file_pattern, (layout,)),), rules=rules_)
+
+    def as_types(rows):
+        days = S.text("days_supply")
+        return rows.select(
+            S.text("claim_id").alias("claim_id"), S.text("patient_id").alias("patient_id"), S.text("fill_date").alias("fill_date_raw"), S.parsed_date("fill_date", "y-M-d").alias("fill_date"), F.lower(S.text("drug_name")).alias("drug_name"),
+            days.alias("days_supply_raw"), S.whole_number(days).alias("days_supply"), S.text("claim_status").alias("claim_status_raw"), S.mapped(STATUS, "claim_status").alias("claim_status"), "load_id", "row_num", "extract_date", "candidate",
+        )
+
+    store = Store(spark, str(tmp_path / "store"))
+    roster = spark.createDataFrame([(p,) for p in inbox.patients], "patient_id string")
+    feed = pipeline.Feed(contract, as_types, year=1997, closed_after=date(1998, 1, 15))
+    for n, name in enumerate(inbox.files):
+        day = date.fromisoformat(f"{name[7:11]}-{name[11:13]}-{name[13:15]}")
+        done = pipeline.run_feed(spark, feed, str(tmp_path / "in"), store, day, f"run{n}", roster)
+        assert done["decision"] == "PUBLISH" and [f["status"] for f in done["files"]] == ["loaded"] and all(x["adds_up"] for x in done["loads"])
+    found = {(r.load_id.split("@")[0], r.row_num, r.rule_id) for r in store.read("claims_findings").select("load_id", "row_num", "rule_id").distinct().collect()}
+    assert found == inbox.planted
+    assert store.read("claims").count() == inbox.good
+
+
+def test_alerts_never_fail(tmp_path):
+    from brindle.sources.alerts import Alerts
+
+    def broken(url, body):
+        raise OSError("no network")
+
+    assert Alerts(str(tmp_path / "a.jsonl"), "http://x", broken).tell("warning", "late") is False
+    sent = []
+    assert Alerts(str(tmp_path / "a.jsonl"), "http://x", lambda u, b: sent.append(b)).tell("info", "done", n=1) is True
+    assert len(sent) == 1 and len((tmp_path / "a.jsonl").read_text().splitlines()) == 3
+
+
+def test_described(spark, tmp_path):
+    from brindle.catalog.feeds import CLAIMS
+    from brindle.plans import described
+
+    assert "| patient_id | direct_identifier |" in described.dictionary([CLAIMS])
+    assert "10 rules: quarantine 8, repair 1, warn 1." in described.catalogue([CLAIMS])
+    assert {("summary", "results"), ("claims", "lines")} <= {tuple(r) for r in described.lineage(spark).collect()}
+    assert described.stale(str(tmp_path / "no"), "x")
