@@ -282,3 +282,17 @@ def classes(
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(common.table(spark, sf_dir, "documents"))
+
+
+def op9_sql() -> str:
+    """The classes in DuckDB SQL: all pairs that share a shingle, and what is reached from each."""
+    return """
+    with recursive d as materialized (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+    s as materialized (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0) x),
+    n as materialized (select doc_id, count(*) as n from s group by doc_id),
+    p as materialized (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+    k as materialized (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 10 * c >= 8 * (x.n + y.n - c)),
+    l as materialized (select a, b from k union all select b, a from k),
+    r as (select doc_id as node, doc_id as low from d union select l.b, r.low from r join l on l.a = r.node)
+    select node as doc_id, min(low) as class_id, node = min(low) as kept from r group by node
+    """

@@ -265,3 +265,14 @@ def linked(
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(common.table(spark, sf_dir, "embeddings"))
+
+
+def op7_sql() -> str:
+    """Links by brute force in DuckDB SQL, and what is reached from each vector."""
+    return f"""
+    with recursive v as materialized (select vec_id, label, cast(embedding as double[]) as e from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l as materialized (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+    r as (select vec_id as node, vec_id as low from embeddings union select l.b, r.low from r join l on l.a = r.node),
+    c as (select a, count(*) as n from l group by a)
+    select node as vec_id, coalesce(any_value(c.n), 0) as n_links, min(low) as component_id, node = min(low) as kept from r left join c on c.a = node group by node
+    """

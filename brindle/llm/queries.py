@@ -20,5 +20,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_line_quality": line_quality.op1_sql(),
+    "op2_substring": substring.op2_sql(),
     "op3_url_filter": url_filter.op3_sql(),
+    "op7_nn_descent": nn_descent.op7_sql(),
+    "op9_minhash": minhash.op9_sql(),
 }

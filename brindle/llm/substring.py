@@ -245,3 +245,16 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", F.col("words").alias("n_words"), F.col("removed").alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+def op2_sql() -> str:
+    """The same in DuckDB SQL."""
+    return f"""
+    with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+    v as (select doc_id, i, array_to_string(w[i : i + {WINDOW - 1}], ' ') as run from (select doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from d where len(w) >= {WINDOW}) x),
+    f as (select run, min(doc_id) as first from v group by run having count(distinct doc_id) > 1),
+    c as (select distinct v.doc_id, unnest(range(i, i + {WINDOW})) as k from v join f on f.run = v.run where f.first < v.doc_id),
+    e as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as k from d),
+    l as (select e.doc_id, count(c.k) as n_removed, string_agg(case when c.k is null then word end, ' ' order by e.k) as left_over from e left join c on c.doc_id = e.doc_id and c.k = e.k group by e.doc_id)
+    select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(left_over, '')) as kept_sha256 from d left join l on l.doc_id = d.doc_id
+    """
