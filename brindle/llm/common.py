@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, [\x20\x09-\x0D].
 SPACES = "\t\n\x0b\x0c\r "
+#: Rows that a Python worker turns to objects at once.
+PART = 500
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -68,13 +70,17 @@ def words_of(text: Column) -> Column:
 def by_batch(
     df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], Iterator[dict] | Iterator[pa.RecordBatch]]
 ) -> DataFrame:
-    """``mapInArrow`` with a function of one batch that yields lists by column name."""
+    """``mapInArrow`` with a function of one batch that yields lists by column name.
+
+    Batches are handed on in parts of PART rows, so that a worker holds few texts as objects.
+    """
     fields = pa.schema(_arrow(df.sparkSession, schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for out in rows(batch):
-                yield pa.RecordBatch.from_pydict(out, schema=fields) if isinstance(out, dict) else out
+            for at in range(0, batch.num_rows, PART):
+                for out in rows(batch.slice(at, PART)):
+                    yield pa.RecordBatch.from_pydict(out, schema=fields) if isinstance(out, dict) else out
 
     return df.mapInArrow(run, schema)
 
