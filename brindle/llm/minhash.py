@@ -1,11 +1,13 @@
 """Near-duplicates by DartMinHash signatures and banded joins.
 
-Each distinct five-word shingle of a text is an element of weight 1 + ln(count). Its region in the
+Each distinct five-word shingle of a text is an element of weight 1, however often it stands there:
+pairs are verified on shingle sets, so signatures are drawn for sets. An element's region in the
 plane of weight and rank is thrown full of hashed darts: for every dyadic strip of weight, darts
 come in order of rank with exponential gaps, as of a Poisson process whose randomness is a hash of
 (shingle, strip, dart). A dart that lies above the element's weight misses. Every dart belongs to
 one of K coordinates by its hash; the signature keeps the earliest dart of each coordinate, so two
-texts agree at a coordinate with the probability of their weighted Jaccard similarity. Ranks need
+texts agree at a coordinate with the probability of their weighted Jaccard similarity, which at
+weight 1 is the plain one. Ranks need
 to be looked at only up to about K (ln K + 4) / total weight, which a sparse text reaches with few
 darts; where a coordinate stays empty, that text's limit is doubled.
 
@@ -116,21 +118,21 @@ def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
         at, ids, texts = 0, batch.column(0), batch.column(1).cast(pa.binary())
         while at < batch.num_rows:
             held: dict[str, list] = {"words": [], "size": [], "high": [], "low": []}
-            elements, weights, sizes, first = [], [], [], at
+            elements, sizes, first = [], [], at
             while at < batch.num_rows and sum(sizes[-1:]) < SLICE and len(sizes) < 500:
                 text = texts[at].as_py() or b""
                 words = word_hashes(text)
                 digest = xxhash.xxh3_128_intdigest(b" ".join(text.split()))
-                found, counts = shingles(words)
+                found = shingles(words)[0]
                 elements.append(found)
-                weights.append(1 + np.log(counts))
                 sizes.append(len(found))
                 for k, v in zip(held, (len(words), len(found), digest >> 64, digest & (1 << 64) - 1), strict=True):
                     held[k].append(v - (1 << 64) if v >= 1 << 63 else v)
                 at += 1
             owner = np.repeat(np.arange(len(sizes)), sizes)
+            # Weight 1 each: similarity of signatures is that of the sets, as verified.
             with np.errstate(over="ignore"):
-                keys = band_keys(signatures(np.concatenate(elements), np.concatenate(weights), owner, len(sizes), bands * rows), bands, rows)
+                keys = band_keys(signatures(np.concatenate(elements), np.ones(len(owner)), owner, len(sizes), bands * rows), bands, rows)
             yield {id_col: ids.slice(first, at - first), **held, "bands": [*keys.view(np.int64)]}
 
     return common.by_batch(docs.select(id_col, text_col), f"`{id_col}` {kind}, words long, size long, high long, low long, bands array<long>", of)

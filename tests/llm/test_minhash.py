@@ -63,6 +63,18 @@ def test_signature_agreement_is_weighted_similarity():
         assert abs((s[0] == s[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.04
 
 
+def test_repeats_of_a_passage_do_not_hide_a_pair(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(25):  # x, x+x, x+x+x and ten times x, and a text in which half of x stands five times
+        x = [f"w{n}" for n in rng.integers(0, 10**6, 120)]
+        for k, text in enumerate((x, x * 2, x * 3, x * 10, x[:60] * 5 + x[60:])):
+            rows.append((10 * i + k, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in minhash.classes(df).collect()}
+    assert got == brute_classes(rows) and set(got.values()) == {10 * i for i in range(25)}
+
+
 def test_shingles_of_short_texts():
     assert len(shingles(word_hashes(b""))[0]) == 0
     assert len(shingles(word_hashes(b"one two"))[0]) == 1
