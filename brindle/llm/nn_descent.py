@@ -1,8 +1,10 @@
 """Near-duplicate vectors by NN-descent.
 
 Vectors of equal label, length and bits are one class with the smallest id as representative; only
-representatives are compared. A neighbour graph with K neighbours a node starts from buckets of
-random hyperplanes (TABLES of them) and is refined: each node's neighbours and reverse neighbours
+representatives are compared. Labels of up to SMALL of them are compared whole, block by block. In
+larger ones a neighbour graph with K neighbours a node starts from buckets of random hyperplanes
+(TABLES of them, as fine as the label's own size asks) and one random bucket, so that every node
+has a full list, and is refined: each node's neighbours and reverse neighbours
 meet, and every one of them that finds another nearer than its own K-th neighbour takes it up,
 until a round improves less than SETTLED of the lists. Threshold edges of the graph are kept;
 their components are the result's.
@@ -40,6 +42,8 @@ K, REVERSE, TABLES, ROUNDS, SETTLED = 8, 1, 4, 6, 0.002
 AUDIT, RECALL, ENLARGED = 256, 0.98, 4
 #: Rows that are compared with each other at once, and those that a start bucket should hold.
 BLOCK, BUCKET = 2048, 128
+#: A label of up to so many representatives is compared whole.
+SMALL = 2048
 #: Bucket rows from which a start bucket is dealt out.
 HOT = 4096
 
@@ -80,9 +84,10 @@ def prepared(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
     return out.select("id", F.xxhash64("label", "dims").alias("space"), "high", "low", "vec")
 
 
-def _start(nodes: DataFrame, n: int, k: int) -> DataFrame:
-    """(id, other, sim): for each node the k nearest of its buckets."""
-    bits = max(0, int(np.ceil(np.log2(max(1, n) / BUCKET))))
+def _start(nodes: DataFrame, k: int, turn: int = 0) -> DataFrame:
+    """(id, other, sim): for each node the k nearest of its buckets, which hold some BUCKET rows of its space each."""
+    wide = lambda size: max(0, int(np.ceil(np.log2(max(1, size) / BUCKET))))
+    bits = wide(nodes.agg(F.max("size")).first()[0] or 0)
 
     def coded(batch: pa.RecordBatch) -> Iterator[dict]:
         raw = batch.column(2).to_pylist()
@@ -92,14 +97,18 @@ def _start(nodes: DataFrame, n: int, k: int) -> DataFrame:
             by_size.setdefault(len(v), []).append(i)
         for size, at in by_size.items():
             x = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), -1)
-            planes = np.random.default_rng(20 + size).standard_normal((size // 8, TABLES, max(1, bits)))
+            planes = np.random.default_rng([20 + size, turn]).standard_normal((size // 8, TABLES, max(1, bits)))
             signs = np.einsum("nd,dtb->ntb", x, planes) > 0
-            keys[at] = (signs * (1 << np.arange(max(1, bits)))).sum(axis=2) if bits else 0
+            own = np.array([wide(batch.column(3)[i].as_py()) for i in at])  # by the space's own size
+            keys[at] = ((signs * (1 << np.arange(max(1, bits)))).sum(axis=2) if bits else 0) & ((1 << own) - 1)[:, None]
         yield {"id": batch.column(0), "space": batch.column(1), "vec": batch.column(2), "codes": [*keys]}
 
     kind = nodes.schema["id"].dataType.simpleString()
-    rows = common.by_batch(nodes.select("id", "space", "vec"), f"id {kind}, space long, vec binary, codes array<long>", coded)
-    rows = rows.select("id", "vec", "space", F.posexplode("codes").alias("t", "code")).select("id", "vec", F.xxhash64("space", "t", "code").alias("key"))
+    coded_rows = common.by_batch(nodes.select("id", "space", "vec", "size"), f"id {kind}, space long, vec binary, codes array<long>", coded)
+    # One random bucket more: a node that is alone in the others has a list all the same.
+    chance = nodes.select("id", "vec", "space", F.lit(TABLES).alias("t"), F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("size") / BUCKET)).alias("code"))
+    rows = coded_rows.select("id", "vec", "space", F.posexplode("codes").alias("t", "code")).unionByName(chance)
+    rows = rows.select("id", "vec", F.xxhash64("space", "t", "code").alias("key"))
     hot = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).withColumnRenamed("key", "x")
     rows = rows.join(hot, F.col("key") == F.col("x"), "left")
     salt = F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / HOT))).otherwise(F.lit(0))
@@ -167,8 +176,23 @@ def _refined(nodes: DataFrame, graph: DataFrame, n: int, k: int, rounds: int) ->
     return graph
 
 
-def _counted(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(id, degree): links of all members (id, comp) within their component, block by block."""
+def _reached(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the first row that it reaches."""
+    out = np.arange(len(near))
+    left = near.any(axis=1)
+    for i in np.flatnonzero(left):
+        front = np.array([i]) if left[i] else np.empty(0, np.int64)
+        while len(front):
+            out[front], left[front] = i, False
+            front = np.flatnonzero(near[front].any(axis=0) & left)
+    return out
+
+
+def _compared(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """(id, degree, other): links of all members (id, comp) within their component, block by block.
+
+    Rows of an id come from each pair of blocks; ``other`` is one that the id reaches there.
+    """
     sizes = members.groupBy("comp").agg(F.count("*").alias("size")).withColumnRenamed("comp", "c")
     held = members.join(sizes, F.col("comp") == F.col("c")).drop("c").join(nodes.select("id", "m", "vec"), "id")
     blocks = F.ceil(F.col("size") / (BLOCK // 2)).cast("int")
@@ -184,14 +208,20 @@ def _counted(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFram
     def count(part: pa.RecordBatch) -> dict | None:
         ids, v, m = part.column(1).to_numpy(), _vectors(part.column(2)), part.column(3).to_numpy()
         side, alone = part.column(4).to_numpy(), bool(part.column(5)[0].as_py())
+        near = np.zeros((len(ids), len(ids)), bool)
         out = np.zeros(len(ids), np.int64)
         for at in range(0, len(ids), 512):
-            near = v[at : at + 512] @ v.T >= threshold
-            near &= (ids[at : at + 512, None] != ids) if alone else (side[at : at + 512, None] != side)
-            out[at : at + 512] = near @ m
-        return {"id": ids, "degree": out}
+            part = v[at : at + 512] @ v.T >= threshold
+            part &= (ids[at : at + 512, None] != ids) if alone else (side[at : at + 512, None] != side)
+            out[at : at + 512] = part @ m
+            near[at : at + 512] = part
+        return {"id": ids, "degree": out, "other": ids[_reached(near | near.T)]}
+
+    return common.in_groups(held, "key", f"id {kind}, degree long, other {kind}", count, cap)
+
 
-    return common.in_groups(held, "key", f"id {kind}, degree long", count, cap).groupBy("id").agg(F.sum("degree").alias("degree"))
+def _degrees(compared: DataFrame) -> DataFrame:
+    return compared.groupBy("id").agg(F.sum("degree").alias("degree"))
 
 
 def _audit(nodes: DataFrame, edges: DataFrame, whole: DataFrame, threshold: float, audit: int) -> tuple[int, int]:
@@ -228,32 +258,47 @@ def _audit(nodes: DataFrame, edges: DataFrame, whole: DataFrame, threshold: floa
     return got[0], got[1] or 0
 
 
+def _linked(graph: DataFrame, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, other): the graph's links both ways, and (id, comp): the members of components with a saturated list."""
+    near = _edges(graph).where(F.col("sim") >= threshold)
+    both = common.written(near.select("id", "other").unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "near")
+    comp = common.written(components(both, "id", "other"), "components")
+    full = graph.where((F.size("near") >= k) & (F.get("near", k - 1)["sim"] >= threshold)).select("id")
+    dense = comp.join(full.withColumnRenamed("id", "node"), "node", "left_semi").select(F.col("component").alias("c")).distinct()
+    whole = comp.join(dense, F.col("component") == F.col("c"), "left_semi").select(F.col("node").alias("id"), F.col("component").alias("comp"))
+    return both, common.written(whole, "dense")
+
+
+def _listed(nodes: DataFrame, both: DataFrame, whole: DataFrame) -> DataFrame:
+    """(id, degree): links by list of the nodes outside dense components."""
+    of_list = both.join(whole.select(F.col("id").alias("w")), F.col("id") == F.col("w"), "left_anti")
+    return of_list.join(nodes.select(F.col("id").alias("other"), "m"), "other").groupBy("id").agg(F.sum("m").alias("degree"))
+
+
 def linked(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD,
-    k: int = K, rounds: int = ROUNDS, audit: int = AUDIT, recall: float = RECALL,
+    k: int = K, rounds: int = ROUNDS, audit: int = AUDIT, recall: float = RECALL, small: int = SMALL,
 ) -> DataFrame:
     """A row for each row of ``vectors``: its id, ``n_links``, ``component_id`` and ``kept``."""
     every = common.written(prepared(vectors, id_col, vector_col, label_col), "vectors")
     nodes = every.groupBy("space", "high", "low").agg(F.min("id").alias("id"), F.count("*").alias("m"), F.first("vec").alias("vec"))
-    nodes = common.written(nodes, "nodes")
-    n = nodes.count()
-    graph = common.written(_lists(_start(nodes, n, k), k), "graph")
+    sizes = nodes.groupBy("space").agg(F.count("*").alias("size")).withColumnRenamed("space", "s")
+    nodes = common.written(nodes.join(sizes, F.col("space") == F.col("s")).drop("s"), "nodes")
+    # Small labels whole.
+    alike = nodes.where(F.col("size") <= small).select("id", F.col("space").alias("comp"))
+    compared = common.written(_compared(nodes, alike, threshold), "compared")
+    todo = nodes.where(F.col("size") > small)
+    n = todo.count()
+    graph = common.written(_lists(_start(todo, k), k), "graph")
     for _ in range(ENLARGED):
-        graph = _refined(nodes, graph, n, k, rounds)
-        near = _edges(graph).where(F.col("sim") >= threshold)
-        both = common.written(near.select("id", "other").unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "near")
-        comp = common.written(components(both, "id", "other"), "components")
-        full = graph.where((F.size("near") >= k) & (F.get("near", k - 1)["sim"] >= threshold)).select("id")
-        dense = comp.join(full.withColumnRenamed("id", "node"), "node", "left_semi").select(F.col("component").alias("c")).distinct()
-        whole = comp.join(dense, F.col("component") == F.col("c"), "left_semi").select(F.col("node").alias("id"), F.col("component").alias("comp"))
-        whole = common.written(whole, "dense")
-        there, found = _audit(nodes, both, whole, threshold, audit)
+        graph = _refined(todo, graph, n, k, rounds)
+        both, whole = _linked(graph, k, threshold)
+        there, found = _audit(todo, both, whole, threshold, audit)
         if found >= recall * there:
             break
         k *= 2
-    of_list = both.join(whole.select(F.col("id").alias("w")), F.col("id") == F.col("w"), "left_anti")
-    of_list = of_list.join(nodes.select(F.col("id").alias("other"), "m"), "other").groupBy("id").agg(F.sum("m").alias("degree"))
-    degree = common.written(of_list.unionByName(_counted(nodes, whole, threshold)), "degrees")
+    degree = common.written(_listed(nodes, both, whole).unionByName(_degrees(_compared(nodes, whole, threshold))).unionByName(_degrees(compared)), "degrees")
+    comp = common.written(components(both.unionByName(compared.select("id", "other")), "id", "other"), "components")
     rep = nodes.select("space", "high", "low", F.col("id").alias("rep"), "m")
     rep = rep.join(degree.withColumnRenamed("id", "d"), F.col("rep") == F.col("d"), "left").join(comp, F.col("rep") == F.col("node"), "left")
     rep = rep.select("space", "high", "low", (F.coalesce("degree", F.lit(0).cast("long")) + F.col("m") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))

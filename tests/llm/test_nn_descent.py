@@ -75,3 +75,20 @@ def test_large_components_by_blocks(spark, monkeypatch):
     got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df).collect()}
     want = brute(rows)
     assert np.mean([got[i] == want[i] for i in want]) >= 0.97
+
+
+def test_a_label_does_not_lose_links_beside_a_large_one(spark):
+    rng = np.random.default_rng(8)
+    pair = lambda: around(rng, rng.standard_normal(48), 2, 0.12)
+    rows = [(v, 1) for _ in range(100) for v in pair()] + [(rng.standard_normal(48).tolist(), 0) for _ in range(12_000)]
+    df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, audit=0).where("vec_id < 200").collect()}
+    assert got == brute([(i, v, g) for i, (v, g) in enumerate(rows[:200])])
+
+
+def test_every_node_has_a_full_start_list(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(32), i % 50 == 0) for i in range(6000)]
+    nodes = spark.createDataFrame([(i, int(g), (v / np.linalg.norm(v)).tobytes(), 120 if g else 5880) for i, v, g in rows], "id long, space long, vec binary, size long")
+    lists = nn_descent._lists(nn_descent._start(nodes, 8), 8).selectExpr("id", "size(near) as n").collect()
+    assert len(lists) == 6000 and min(r.n for r in lists) == 8
