@@ -11,8 +11,11 @@ their components are the result's.
 
 A node whose list is full of neighbours above the threshold is saturated: its list is enlarged to
 all of its component, whose members are compared block by block, and only the counts leave a
-block. Recall is audited: AUDIT nodes are compared with all rows of their label; below RECALL the
-graph is refined again with twice the K.
+block. Recall is audited by label: some AUDIT nodes of each are compared with all of its rows, and
+links that aren't within one dense component (those are counted exactly) are looked up. Where less
+than RECALL of them is found, over all links or as the mean over nodes, the label is started again
+with new planes and twice the K beside the lists so far; a label that still fails after TRIES is
+compared whole, block by block.
 
 Reverse neighbours that meet at a node are REVERSE times K by hash order, dealt anew each round;
 this bounds a task's group, and what it leaves out is covered by later rounds and seen by the audit.
@@ -27,6 +30,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ from .components import components
 
 THRESHOLD = 0.93
 K, REVERSE, TABLES, ROUNDS, SETTLED = 8, 1, 4, 6, 0.002
-AUDIT, RECALL, ENLARGED = 256, 0.98, 4
+AUDIT, RECALL, TRIES = 256, 0.98, 3
 #: Rows that are compared with each other at once, and those that a start bucket should hold.
 BLOCK, BUCKET = 2048, 128
 #: A label of up to so many representatives is compared whole.
@@ -224,38 +228,31 @@ def _degrees(compared: DataFrame) -> DataFrame:
     return compared.groupBy("id").agg(F.sum("degree").alias("degree"))
 
 
-def _audit(nodes: DataFrame, edges: DataFrame, whole: DataFrame, threshold: float, audit: int) -> tuple[int, int]:
-    """Links that a sample of nodes has, and how many of them are found."""
-    asked = nodes.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(audit).select("id", "space", "vec").collect()
-    by_space: dict[int, tuple[list, np.ndarray]] = {}
-    for r in asked:
-        by_space.setdefault(r.space, ([], []))[0].append(r.id)
-        by_space[r.space][1].append(np.frombuffer(r.vec, np.float64))
-    by_space = {s: (np.array(i), np.stack(v)) for s, (i, v) in by_space.items()}
+def _failed(nodes: DataFrame, edges: DataFrame, whole: DataFrame, threshold: float, audit: int, recall: float) -> DataFrame:
+    """(space): those in whose sample too few links are found, links within one dense component apart."""
+    inside = whole.select(F.col("id").alias("p"), F.xxhash64("comp").alias("in"))
+    held = nodes.join(inside, F.col("id") == F.col("p"), "left").select("id", "space", "size", "vec", F.coalesce("in", F.lit(0).cast("long")).alias("in"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    asked = held.where(F.pmod(F.xxhash64("id", F.lit(7)), F.col("size")) < audit).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = held.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
+    rows = rows.select(F.xxhash64("space", "block").alias("key"), "id", "vec", "space", "in", "asked")
     kind = nodes.schema["id"].dataType.simpleString()
 
-    def near(batch: pa.RecordBatch) -> Iterator[dict]:
-        spaces, ids, raw = batch.column(1).to_numpy(), batch.column(0).to_numpy(), batch.column(2).to_pylist()
-        out: dict[str, list] = {"a": [], "b": []}
-        for space, (names, q) in by_space.items():
-            at = np.flatnonzero(spaces == space)
-            for part in np.array_split(at, len(at) // BLOCK + 1):
-                if len(part):
-                    v = np.frombuffer(b"".join(raw[i] for i in part), np.float64).reshape(len(part), -1)
-                    x, y = np.nonzero(q @ v.T >= threshold)
-                    out["a"] += names[x].tolist()
-                    out["b"] += ids[part][y].tolist()
-        yield out
+    def near(part: pa.RecordBatch) -> dict | None:
+        asks = np.array(part.column(5).to_pylist(), bool)
+        if not asks.any() or asks.all():
+            return None
+        ids, v, space, comp = part.column(1).to_numpy(), _vectors(part.column(2)), part.column(3).to_numpy(), part.column(4).to_numpy()
+        sure = (comp[asks][:, None] == comp[~asks]) & (comp[~asks] != 0)
+        x, y = np.nonzero((v[asks] @ v[~asks].T >= threshold) & ~sure & (ids[asks][:, None] != ids[~asks]))
+        return {"a": ids[asks][x], "b": ids[~asks][y], "space": space[asks][x]}
 
-    true = common.by_batch(nodes.select("id", "space", "vec"), f"a {kind}, b {kind}", near).where("a <> b")
+    true = common.in_groups(rows, "key", f"a {kind}, b {kind}, space long", near, 16 * BLOCK)  # hashing deals blocks evenly
     found = edges.select(F.col("id").alias("x"), F.col("other").alias("y"))
-    comp = whole.select(F.col("id").alias("p"), "comp")
     marked = true.join(found, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left")
-    marked = marked.join(comp, F.col("a") == F.col("p"), "left").drop("p").withColumnRenamed("comp", "ca")
-    marked = marked.join(comp, F.col("b") == F.col("p"), "left")
-    hit = F.col("x").isNotNull() | F.coalesce(F.col("ca") == F.col("comp"), F.lit(False))
-    got = marked.agg(F.count("*"), F.sum(hit.cast("long"))).first()
-    return got[0], got[1] or 0
+    each = marked.groupBy("space", "a").agg(F.count("*").alias("there"), F.count("x").alias("found"))
+    each = each.groupBy("space").agg(F.sum("there").alias("there"), F.sum("found").alias("found"), F.avg(F.col("found") / F.col("there")).alias("mean"))
+    return common.written(each.where((F.col("found") < recall * F.col("there")) | (F.col("mean") < recall)).select("space"), "failed")
 
 
 def _linked(graph: DataFrame, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -284,21 +281,28 @@ def linked(
     nodes = every.groupBy("space", "high", "low").agg(F.min("id").alias("id"), F.count("*").alias("m"), F.first("vec").alias("vec"))
     sizes = nodes.groupBy("space").agg(F.count("*").alias("size")).withColumnRenamed("space", "s")
     nodes = common.written(nodes.join(sizes, F.col("space") == F.col("s")).drop("s"), "nodes")
-    # Small labels whole.
-    alike = nodes.where(F.col("size") <= small).select("id", F.col("space").alias("comp"))
-    compared = common.written(_compared(nodes, alike, threshold), "compared")
-    todo = nodes.where(F.col("size") > small)
-    n = todo.count()
-    graph = common.written(_lists(_start(todo, k), k), "graph")
-    for _ in range(ENLARGED):
-        graph = _refined(todo, graph, n, k, rounds)
-        both, whole = _linked(graph, k, threshold)
-        there, found = _audit(todo, both, whole, threshold, audit)
-        if found >= recall * there:
+    todo, links, degrees, graph = nodes.where(F.col("size") > small), [], [], None
+    for turn in range(TRIES):
+        n = todo.count()
+        if not n:
             break
+        start = _start(todo, k, turn)
+        start = start if graph is None else start.unionByName(_edges(graph).join(todo.select("id"), "id", "left_semi"))
+        graph = _refined(todo, common.written(_lists(start, k), "graph"), n, k, rounds)
+        both, whole = _linked(graph, k, threshold)
+        failed = _failed(todo, both, whole, threshold, audit, recall)
+        good = todo.join(failed, "space", "left_anti")
+        both, whole = (df.join(good.select("id"), "id", "left_semi") for df in (both, whole))
+        links.append(both)
+        degrees += [_listed(good, both, whole), _degrees(_compared(good, whole, threshold))]
+        todo = common.written(todo.join(failed, "space", "left_semi"), "todo")
         k *= 2
-    degree = common.written(_listed(nodes, both, whole).unionByName(_degrees(_compared(nodes, whole, threshold))).unionByName(_degrees(compared)), "degrees")
-    comp = common.written(components(both.unionByName(compared.select("id", "other")), "id", "other"), "components")
+    # Small labels, and those that failed to the end, whole.
+    alike = nodes.where(F.col("size") <= small).select("id", "space").unionByName(todo.select("id", "space")).withColumnRenamed("space", "comp")
+    compared = common.written(_compared(nodes, alike, threshold), "compared")
+    links.append(compared.select("id", "other"))
+    degree = common.written(reduce(DataFrame.unionByName, [*degrees, _degrees(compared)]), "degrees")
+    comp = common.written(components(reduce(DataFrame.unionByName, links), "id", "other"), "components")
     rep = nodes.select("space", "high", "low", F.col("id").alias("rep"), "m")
     rep = rep.join(degree.withColumnRenamed("id", "d"), F.col("rep") == F.col("d"), "left").join(comp, F.col("rep") == F.col("node"), "left")
     rep = rep.select("space", "high", "low", (F.coalesce("degree", F.lit(0).cast("long")) + F.col("m") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))

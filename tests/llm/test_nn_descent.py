@@ -79,7 +79,7 @@ def test_large_components_by_blocks(spark, monkeypatch):
 
 def test_a_label_does_not_lose_links_beside_a_large_one(spark):
     rng = np.random.default_rng(8)
-    pair = lambda: around(rng, rng.standard_normal(48), 2, 0.12)
+    pair = lambda: around(rng, rng.standard_normal(48), 2, 0.24)
     rows = [(v, 1) for _ in range(100) for v in pair()] + [(rng.standard_normal(48).tolist(), 0) for _ in range(12_000)]
     df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(rows)], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, audit=0).where("vec_id < 200").collect()}
@@ -92,3 +92,25 @@ def test_every_node_has_a_full_start_list(spark):
     nodes = spark.createDataFrame([(i, int(g), (v / np.linalg.norm(v)).tobytes(), 120 if g else 5880) for i, v, g in rows], "id long, space long, vec binary, size long")
     lists = nn_descent._lists(nn_descent._start(nodes, 8), 8).selectExpr("id", "size(near) as n").collect()
     assert len(lists) == 6000 and min(r.n for r in lists) == 8
+
+
+def test_a_lost_link_beside_a_dense_component_is_mended(spark, monkeypatch):
+    start = nn_descent._start
+    monkeypatch.setattr(nn_descent, "_start", lambda nodes, *rest: start(nodes, *rest).where("id % 3 = 0 and other % 3 = 0"))
+    rng = np.random.default_rng(10)
+    rows = [(v, 1) for v in around(rng, rng.standard_normal(24), 700, 0.1)]
+    rows += [(v, 1) for _ in range(200) for v in around(rng, rng.standard_normal(24), 2, 0.1)]
+    rows = [(i, v, g) for i, (v, g) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, rounds=1, small=100).collect()}
+    assert got == brute(rows)
+
+
+def test_search_and_audit_by_label(spark):
+    rng = np.random.default_rng(12)
+    rows = [(v, g) for g in range(2) for _ in range(400) for v in around(rng, rng.standard_normal(24), 3, 0.1)]
+    rows = [(i, v, g) for i, (v, g) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, small=100).collect()}
+    want = brute(rows)
+    assert np.mean([got[i] == want[i] for i in want]) >= 0.97
