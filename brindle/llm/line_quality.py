@@ -3,13 +3,14 @@
 Lines are normalised (ASCII letters lowered, digits to 0, white space to single spaces) and hashed
 with their host. A line is boilerplate if the number of distinct texts of the host that hold it
 reaches MIN_DOCS and SHARE of the host's distinct texts; exact copies of a text count once, so a
-text isn't held against its own copies. Boilerplate lines are removed, and a document is rejected
+text isn't held against its own copies. Boilerplate lines are removed (``cleaned`` gives the texts
+without them, the other lines as they were), and a document is rejected
 as depleted if fewer than MIN_LEFT words or less than KEEP of its words are left. Some base figures
 go with it, and a document that fails them is rejected as well.
 
 Counts are partly summed before every shuffle, so a host or line with a third of all rows costs a
 row a task; going back from lines to documents is a join that Spark splits where a line is hot.
-No text is shuffled, only hashes.
+Counts shuffle hashes only; texts are shuffled once, to meet the places of their boilerplate lines.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its
 own (the empty name); rows with a null id are judged like others; repeated rows get equal results;
@@ -63,32 +64,32 @@ def normalised(line: Column) -> Column:
 
 
 def base_figures(docs: DataFrame) -> DataFrame:
-    """The figures of each row of (id, host, text) by itself."""
+    """The figures of each row of (id, text, left) by itself; ``left`` is what is left of the text."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.select(
-        "id", "host", "copy", common.words_of(F.col("text")).alias("words"), lines.alias("lines"),
+        "id", "left", common.words_of(F.col("text")).alias("words"), lines.alias("lines"),
         F.length(F.translate(text, common.SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
     return out.select(
-        "id", "host", "copy", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "id", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
+        F.when(F.col("left").isNull(), F.size("words")).otherwise(F.size(common.words_of(F.col("left")))).cast("long").alias("n_left"),
     )
 
 
-def judge(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS,
-    share: float = SHARE, min_left: int = MIN_LEFT, keep: float = KEEP,
+def _without(
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, share: float
 ) -> DataFrame:
-    """A row for each row of ``docs``: its id, figures, words in boilerplate lines, and verdict."""
+    """(id, text, left): the rows of ``docs``, and their texts without boilerplate lines (null where there are none)."""
     held = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).alias("text")
     ).withColumn("copy", F.xxhash64(F.coalesce("text", F.lit(""))))
     line = held.select("id", "host", "copy", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("place", "line"))
     line = line.select("id", "host", "copy", "place", normalised(F.col("line")).alias("line")).where("line <> ''")
-    line = line.select("id", "host", "copy", "place", F.xxhash64("line").alias("hash"), (F.length("line") - F.length(F.translate("line", " ", "")) + 1).alias("n"))
+    line = line.select("id", "host", "copy", "place", F.xxhash64("line").alias("hash"))
     # Distinct texts of a host, and of a host that hold a line.
     hosts = held.groupBy("host").agg(F.count_distinct("copy").alias("texts"))
     often = line.groupBy("host", "hash").agg(F.count_distinct("copy").alias("docs")).where(F.col("docs") >= min_docs)
@@ -96,11 +97,27 @@ def judge(
     often = common.written(often.select(F.col("host").alias("h"), F.col("hash").alias("x")), "boilerplate")
     cut = line.join(often, (F.col("host") == F.col("h")) & (F.col("hash") == F.col("x")))
     # Rows that repeat each other name each place once.
-    cut = cut.groupBy("id", "host", "copy").agg(F.collect_set(F.struct("place", "n")).alias("lines"))
-    cut = cut.select(F.col("id").alias("i"), F.col("host").alias("h"), F.col("copy").alias("c"), F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"]).cast("long").alias("cut"))
+    cut = cut.groupBy("id", "host", "copy").agg(F.collect_set("place").alias("places"))
+    cut = cut.select(F.col("id").alias("i"), F.col("host").alias("h"), F.col("copy").alias("c"), "places")
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("host") == F.col("h")) & (F.col("copy") == F.col("c"))
-    out = base_figures(held).join(cut, same, "left")
-    gone, left = F.coalesce("cut", F.lit(0).cast("long")), F.col("n_words") - F.col("n_line_words")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("places", i)), "\n")
+    return held.join(cut, same, "left").select("id", "text", F.when(F.col("places").isNotNull(), left).alias("left"))
+
+
+def cleaned(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE
+) -> DataFrame:
+    """A row for each row of ``docs``: its id and its text without boilerplate lines."""
+    return _without(docs, id_col, text_col, host_col, min_docs, share).select(F.col("id").alias(id_col), F.coalesce("left", "text").alias(text_col))
+
+
+def judge(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS,
+    share: float = SHARE, min_left: int = MIN_LEFT, keep: float = KEEP,
+) -> DataFrame:
+    """A row for each row of ``docs``: its id, figures, words in boilerplate lines, and verdict."""
+    out = base_figures(_without(docs, id_col, text_col, host_col, min_docs, share))
+    gone, left = F.col("n_words") - F.col("n_left"), F.col("n_words") - F.col("n_line_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     out = out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", gone.alias("n_line_words"), failed.alias("base_failed"))
     return out.withColumn("kept", ~F.col("base_failed") & (left >= min_left) & (left >= F.col("n_words") * keep))

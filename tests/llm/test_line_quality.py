@@ -55,3 +55,11 @@ def test_odd_rows(odd, empty):
     assert (by_id[2].n_words, by_id[2].base_failed, by_id[2].kept) == (0, True, False)
     assert {r.n_line_words for r in got if r.doc_id == 4} == {80}
     assert by_id[6].n_line_words == 4 and by_id[None].n_words == 7
+
+
+def test_boilerplate_lines_leave_the_texts(spark):
+    rows = [(i, f"Menu {i % 10}  Home\n text of {i}x, its own line\n\nmenu 3 home\nend\n", "h") for i in range(30)] + [(100, "Menu 1 Home\nother", "g"), (101, None, "h"), (None, "menu 0 home", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_quality.cleaned(df, min_docs=31).collect()}
+    want = {i: f" text of {i}x, its own line\n\nend\n" for i in range(30)} | {100: "Menu 1 Home\nother", 101: None, None: ""}
+    assert got == want
