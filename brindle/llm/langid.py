@@ -2,8 +2,8 @@
 
 For each language log-probabilities are added up of
 
-* the text: letter trigrams under a model per language, fitted on a bounded sample of labelled rows
-  (SAMPLE rows, lowest hash of the id first); each byte stands in three trigrams, so a third of
+* the text: letter trigrams under a model per language, fitted on a bounded sample of each label's rows
+  (SAMPLE rows a label, lowest hash of the id first); each byte stands in three trigrams, so a third of
   their sum counts. A further class, ``und``, has every trigram alike: gibberish and
   languages that the sample lacks fall to it, as does a text without letters;
 * the declared language (a page's markup, a table's column): right with probability TRUST;
@@ -29,13 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 SAMPLE = 4000
-#: A label of fewer rows in the sample is no language of its own.
+#: A label of fewer rows is no language of its own.
 MIN_ROWS = 3
 TRUST, KAPPA, MIN_P = 0.9, 5.0, 0.5
 BUCKETS = 1 << 16
@@ -67,29 +67,35 @@ class TrigramModel:
 
 
 def fitted(docs: DataFrame, sample: int = SAMPLE) -> TrigramModel:
-    """A model of the labels in a bounded sample of (id, text, declared)."""
+    """A model of the labels of (id, text, declared), of a bounded sample of each label's rows."""
     rows = docs.where("id is not null and declared is not null and text is not null")
-    ids = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = rows.join(F.broadcast(ids), "id", "left_semi").select("declared", "text")  # broadcast: `sample` ids
+    # A label's first ids in each of 64 parts, then of those: no task sorts all of a common label.
+    first = lambda df, *keys: df.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "id"))).where(F.col("r") <= sample).drop("r")
+    ids = rows.select("declared", "id").distinct().withColumn("h", F.xxhash64("id")).withColumn("part", F.pmod("h", F.lit(64)))
+    ids = first(first(ids, "declared", "part"), "declared").select(F.col("declared").alias("d"), F.col("id").alias("i"))
+    rows = rows.join(ids, (F.col("declared") == F.col("d")) & (F.col("id") == F.col("i")), "left_semi").select("declared", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held[label] = held.get(label, 0) + np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
-                n[label] = n.get(label, 0) + 1
-        for label, counts in held.items():
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict({"label": [label] * (len(at) + 1), "bucket": np.append(at, -1).astype(np.int32), "n": np.append(counts[at], n[label])}, schema=pa.schema([("label", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())]))
-
-    # As many rows as buckets and labels of the sample at most.
-    found = rows.mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+            places: dict[str, list[int]] = {}
+            for i, label in enumerate(batch.column(0).to_pylist()):
+                places.setdefault(label, []).append(i)
+            for label, at in places.items():  # one label's counts at a time
+                counts = np.zeros(BUCKETS, np.int64)
+                for i in at:
+                    counts += np.bincount(trigrams(batch.column(1)[i].as_py()), minlength=BUCKETS)
+                there = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_pydict({"label": [label] * (len(there) + 1), "bucket": np.append(there, -1).astype(np.int32), "n": np.append(counts[there], len(at))}, schema=pa.schema([("label", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())]))
+
+    found = rows.mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    found = common.written(found, "trigrams")
+    known = found.where((F.col("bucket") == -1) & (F.col("n") >= MIN_ROWS)).select("label")
+    # As many rows as buckets and languages at most.
+    found = found.join(known, "label", "left_semi").toPandas()
     out = {}
     for label, part in found.groupby("label"):
-        if part.n[part.bucket == -1].sum() >= MIN_ROWS:
-            out[label] = np.zeros(BUCKETS)
-            out[label][part.bucket[part.bucket >= 0]] = part.n[part.bucket >= 0]
+        out[label] = np.zeros(BUCKETS)
+        out[label][part.bucket[part.bucket >= 0]] = part.n[part.bucket >= 0]
     return TrigramModel(out)
 
 

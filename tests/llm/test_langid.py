@@ -64,3 +64,12 @@ def test_odd_rows(odd, empty):
     got = {r.doc_id: r for r in langid.identify(odd).collect()}
     assert not got[1].kept and not got[2].kept and not got[5].kept
     assert langid.identify(odd).count() == 9 and langid.identify(empty).count() == 0
+
+
+def test_a_rare_declared_language_has_a_model(spark):
+    rng = np.random.default_rng(6)
+    made = lambda letters: " ".join("".join(rng.choice([*letters], 5)) for _ in range(30))
+    rows = [(i, made("abcdefg"), "aa", "h") for i in range(600)] + [(1000 + i, made("tuvwxyz"), "zz", "h") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = langid.identify(df, sample=20).where("doc_id >= 1000").collect()
+    assert [(r.language, r.kept) for r in got] == [("zz", True)] * 8
