@@ -244,3 +244,9 @@ def test_bpe_of_odd_rows(odd, empty, words):
     done = bpe.recode(odd, words=words).collect()
     assert sorted((r.decoded for r in done), key=str) == sorted(((r.text or "") for r in odd.select("text").collect()), key=str)
     assert bpe.recode(empty, words=words).count() == 0
+
+
+def test_a_rare_kind_of_secret_is_learned(spark):
+    rows = [(i, f"some ordinary words of text {i}") for i in range(300)] + [(1000 + i, f"key AKIA{i:016d} end") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert set(secrets_scan.learn(df, sample=5).formats) == {"access"}
