@@ -12,6 +12,7 @@ ODD = [
     (4, "the same row twice " * 20, "en", "src1", 380),
     (5, " \n\t ", "de", None, 4),
     (6, "one two three four", "fr", "src2", 18),
+    (8, "long blanks" + " " * 1_200_000 + "end" + "\n" * 1_100_000, "en", "src2", 2_300_014),
     (7, "wo" * 60_000 + " " + "many words of a very long text " * 5000, "en", "src2", 275_001),
 ]
 
@@ -32,7 +33,7 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
-    return df.withColumns({c: F.lit("x") for c in ("found", "ids", "start", "length", "kept", "n", "word", "anchor", "span", "label", "host", "rule", "band")})
+    return df.withColumns({c: F.lit("x") for c in ("i", "h", "left", "copy", "found", "ids", "start", "length", "kept", "n", "word", "anchor", "span", "label", "host", "rule", "band")})
 
 
 @pytest.fixture(scope="session")

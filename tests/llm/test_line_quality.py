@@ -50,7 +50,7 @@ def test_depleted_documents_go_and_copies_stay(spark):
 
 def test_odd_rows(odd, empty):
     got = line_quality.judge(odd.withColumn("h", F.lit(1)), min_docs=1, share=0.0).collect()
-    assert len(got) == 9 and line_quality.judge(empty).count() == 0
+    assert len(got) == 10 and line_quality.judge(empty).count() == 0
     by_id = {r.doc_id: r for r in got}
     assert (by_id[2].n_words, by_id[2].base_failed, by_id[2].kept) == (0, True, False)
     assert {r.n_line_words for r in got if r.doc_id == 4} == {80}
