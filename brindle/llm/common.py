@@ -58,10 +58,51 @@ def removed(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def _file(spark: SparkSession, path: str):
+    """A path, and the file system that it is in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at, fs = _file(spark, path)
+    fs.delete(at, True)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file of the shared folder."""
+    return "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+
+
+def replace_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file beside the old one, and put it in its place by one rename."""
+    jvm = spark.sparkContext._jvm
+    (new, fs), (now, _) = _file(spark, f"{path}.{uuid.uuid4().hex[:8]}"), _file(spark, path)
+    stream = fs.create(new)
+    stream.write(data)
+    stream.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    new, now = fs.makeQualified(new), fs.makeQualified(now)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(new, now, options)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, longer where the table has a column of that name already."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in held:
+            name += "_"
+        held.add(name)
+        out.append(name)
+    return out
+
+
 def words_of(text: Column) -> Column:
     """The words [^\\x20\\x09-\\x0D]+ of a text; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -118,14 +159,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
         yield held
 
 
-def in_groups(df: DataFrame, key: str, schema: str, fn: Callable[[pa.RecordBatch], dict | None], limit: int) -> DataFrame:
-    """``fn`` over the rows of each key (a long, the first column), in parts of ``limit`` rows."""
+def in_groups(
+    df: DataFrame, key: str, schema: str, fn: Callable[[pa.RecordBatch], dict | None], limit: int, whole: bool = False
+) -> DataFrame:
+    """``fn`` over the rows of each key (a long, the first column), in parts of ``limit`` rows.
+
+    ``whole``: a group that would be cut is an error.
+    """
     fields = _arrow(df.sparkSession, schema)
     size = 20_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, rows = [], 0
         for part in _grouped(batches, limit):
+            if whole and part.num_rows >= limit:
+                raise RuntimeError(f"a group of {limit} rows or more")
             out = fn(part)
             if out is not None and len(out[fields.names[0]]):
                 waiting.append(out)

@@ -4,106 +4,109 @@ A window is WINDOW consecutive words of a document. A window that also starts in
 a smaller id is removed with all its words. The index holds no window of its own but anchors:
 among the GRAM-word hashes within a window the smallest, the last of equal ones, is the window's
 anchor, so equal windows have equal anchors at equal places. Consecutive windows of one anchor are
-one entry: the anchor's hash, a hash of the whole span of words that they cover (with the anchor's
-place in it), the document and the windows. Entries number about 2 / (WINDOW - GRAM + 2) a word.
+one entry: the anchor's hash, a digest of 128 bits of the words that they cover, the document and
+the windows. Entries number about 2 / (WINDOW - GRAM + 2) a word.
 
-Each batch of documents is flushed as an immutable run, every file of it sorted by anchor. Then the
-batch is merge-joined with all runs:
+Each batch of documents is flushed as an immutable run: a table bucketed and sorted by anchor that
+holds the first document of each (anchor, digest). Then the batch is merge-joined with all runs,
+which stay where they are; only the batch's anchors are shuffled to their buckets:
 
 1. anchors that stand in documents of different ids survive, all others drop out;
-2. entries with an equal anchor and span as one of a smaller document are covered as a whole;
-3. entries of the first document of a span whose anchor also stands in other spans are verified
-   window by window: their documents' texts are read again, their windows hashed to 128 bits, and
-   those that a smaller document has are covered.
+2. entries with an equal anchor and digest as one of a smaller document are covered as a whole;
+3. of an anchor that stands in several spans each span's first document is verified window by window:
+   its text is read again, its windows are digested from their words to 128 bits, and those that a
+   smaller document has are covered.
 
-All three combine minima before they shuffle, and go back to the entries by joins of two plain
-shuffles, which Spark splits where a key is hot. Runs are compacted into one, which keeps the first
-document of each (anchor, span), when there are more than FANOUT of them.
+More than FANOUT runs of one level are compacted to one run of the next, which keeps the first
+document of each (anchor, digest). The index is a folder: a manifest, replaced by one rename after
+what it names was written, lists the runs and the texts, so another session opens it and goes on.
+
+A hot passage costs a row a run and span, since a run holds first documents only, and minima are
+combined before they are shuffled. The spans of one anchor are dealt over SALT buckets. What goes
+back to the entries of all documents does so by plain shuffled joins, which Spark splits where a key
+is hot. Texts are shuffled once, to buckets of their ids, and meet their marks there.
 
 Batches have to come in ascending order of ids; what an earlier batch returned is not revised.
 
 Defined results: a null id is compared with nothing and loses nothing; a null or empty text has no
-words; a text shorter than a window loses nothing; repeated rows of one id don't remove each other
-and get equal results; an empty table gives an empty table; other columns are not read.
+words; a text shorter than a window loses nothing; rows of one id don't remove each other's windows,
+and each of them, equal or not, is judged by its own text; an empty table gives an empty table;
+other columns are not read.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .shingles import grams, mix, word_hashes
+from .shingles import grams, word_hashes
 
 WINDOW, GRAM = 50, 10
-FANOUT = 4
-#: The query's batches, by ranges of ids.
-BATCHES = 2
-
-_BASES = (0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4F | 5)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and base ** -i modulo 2 ** 64 for i <= n."""
-    if base not in _powers or len(_powers[base][0]) <= n:
-        size = max(4096, 2 * n)
-        _powers[base] = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, x, np.uint64)]), dtype=np.uint64) for x in (base, pow(base, -1, 1 << 64)))
-    return _powers[base]
+#: Runs of a level that are kept side by side, and buckets over which an anchor's spans are dealt.
+FANOUT, SALT = 2, 4
+#: The query's batches, by ranges of ids: enough of them that runs are compacted.
+BATCHES = 4
 
 
-def prefix(words: np.ndarray, which: int) -> np.ndarray:
-    """Prefix sums from which ``spans_of`` gets the hash of any run of words."""
-    values = words if which == 0 else mix(words ^ np.uint64(0x2545F4914F6CDD1D))
-    out = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(values * _power(_BASES[which], len(words))[0][: len(words)], out=out[1:])
-    return out
+class Words:
+    """The words of a text, and digests of runs of them."""
 
+    def __init__(self, text: bytes):
+        self.words = text.split()
+        self.joined = b" ".join(self.words)
+        self.begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1)])
 
-def span_hash(sums: np.ndarray, start: np.ndarray, length: np.ndarray | int, which: int) -> np.ndarray:
-    return mix((sums[start + length] - sums[start]) * _power(_BASES[which], len(sums))[1][start] + np.asarray(length, np.uint64))
+    def digests(self, first: np.ndarray, words: np.ndarray | int) -> np.ndarray:
+        """Two longs for each run of ``words`` words from ``first`` on."""
+        joined, digest = self.joined, xxhash.xxh3_128_digest
+        start, end = self.begin[first].tolist(), (self.begin[first + words] - 1).tolist()
+        return np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(start, end, strict=True)]), np.int64).reshape(-1, 2)
 
 
-def entries_of(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(first window, windows, anchor, span) of each entry of a document."""
-    n = len(words) - window + 1
+def entries_of(text: bytes, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(first window, windows, anchor, digest of two longs) of each entry of a document."""
+    hashes = word_hashes(text)
+    n = len(hashes) - window + 1
     if n <= 0:
-        e = np.empty(0, np.uint64)
-        return e.astype(np.int32), e.astype(np.int32), e, e
-    hashes = grams(words, gram)
+        e = np.empty(0, np.int32)
+        return e, e, e.astype(np.int64), np.empty((0, 2), np.int64)
+    hashes = grams(hashes, gram)
     wide = window - gram + 1
     back = hashes[::-1].copy()  # the first of equal minima is then the last
     at = (wide - 1 - np.lib.stride_tricks.sliding_window_view(back, wide).argmin(axis=1))[::-1] + np.arange(n)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     count = np.diff(np.concatenate([first, [n]]))
-    anchor = hashes[at[first]]
-    whole = span_hash(prefix(words, 0), first, count + window - 1, 0)
-    span = mix(whole + (at[first] - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return first.astype(np.int32), count.astype(np.int32), anchor, span
+    # Equal words have their anchor at an equal place, so the digest needs nothing more.
+    return first.astype(np.int32), count.astype(np.int32), hashes[at[first]].view(np.int64), Words(text).digests(first, count + window - 1)
 
 
-def entries(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(id, first, n, anchor, span) for all documents (id, text)."""
-    kind = docs.schema["id"].dataType.simpleString()
+def entries(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """(id, copy, first, n, anchor, high, low) for all documents (id, copy, text)."""
+    kind = texts.schema["id"].dataType.simpleString()
 
     def of(batch: pa.RecordBatch) -> Iterator[dict]:
         found, sizes = [], []
-        for x in batch.column(1).cast(pa.binary()):
-            found.append(entries_of(word_hashes(x.as_py() or b""), window, gram))
+        for x in batch.column(2).cast(pa.binary()):
+            found.append(entries_of(x.as_py() or b"", window, gram))
             sizes.append(len(found[-1][0]))
         if found:
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-            first, n, anchor, span = (np.concatenate(c) for c in zip(*found, strict=True))
-            yield {"id": ids, "first": first, "n": n, "anchor": anchor.view(np.int64), "span": span.view(np.int64)}
+            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            first, n, anchor, digest = (np.concatenate(c) for c in zip(*found, strict=True))
+            yield {"id": batch.column(0).take(rows), "copy": batch.column(1).take(rows), "first": first, "n": n, "anchor": anchor, "high": digest[:, 0], "low": digest[:, 1]}
 
-    return common.by_batch(docs.where("id is not null"), f"id {kind}, first int, n int, anchor long, span long", of)
+    return common.by_batch(texts.select("id", "copy", "text"), f"id {kind}, copy long, first int, n int, anchor long, high long, low long", of)
 
 
-def _windows(marks: list[dict], words: int, window: int) -> np.ndarray:
+def windows_of(marks: list[dict], words: int, window: int) -> np.ndarray:
     """The windows that a document's marks name."""
     at = np.concatenate([np.empty(0, np.int64), *(np.arange(m["first"], m["first"] + m["n"]) for m in marks)])
     return np.unique(at[at <= words - window])
@@ -118,126 +121,201 @@ def judged(words: list[bytes], covered: np.ndarray, window: int) -> tuple[int, b
     return int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
 
 
+def _bucket(anchor: str, salt: Column) -> Column:
+    return F.xxhash64(F.col(anchor), salt)
+
+
 class FingerprintIndex:
-    """Runs of entries, and the documents that they were made of."""
+    """Runs of entries and the texts that they were made of, in a folder that sessions share."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, window: int = WINDOW, gram: int = GRAM, fanout: int = FANOUT):
+        """An index in a new folder. Tables get as many buckets as the session has shuffle partitions."""
+        self.spark, self.root = spark, (root or common.shared_path(spark, "index")).rstrip("/")
+        self.window, self.gram, self.fanout = window, gram, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[dict] = []  # name, columns, order and level
+        self.texts: list[dict] = []
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> FingerprintIndex:
+        """The index that another session left in a folder."""
+        said = json.loads(common.read_file(spark, f"{root.rstrip('/')}/MANIFEST.json"))
+        out = cls(spark, root, said["window"], said["gram"], said["fanout"])
+        out.buckets, out.runs, out.texts = said["buckets"], said["runs"], said["texts"]
+        return out
 
-    def __init__(self, spark: SparkSession, window: int = WINDOW, gram: int = GRAM, fanout: int = FANOUT):
-        self.spark, self.window, self.gram, self.fanout = spark, window, gram, fanout
-        self.runs: list[DataFrame] = []
-        self.texts: list[DataFrame] = []
+    def save(self) -> None:
+        """Name what counts; before and after it readers see a whole index."""
+        said = {k: getattr(self, k) for k in ("window", "gram", "fanout", "buckets", "runs", "texts")}
+        common.replace_file(self.spark, f"{self.root}/MANIFEST.json", json.dumps(said, sort_keys=True).encode())
+
+    # --- tables
+
+    def _put(self, df: DataFrame, by: list[str], order: list[str], tag: str, level: int = 0) -> dict:
+        """Write a table bucketed by some columns and sorted in each bucket."""
+        name = f"brindle_{tag}_{uuid.uuid4().hex[:12]}"
+        path = f"{self.root}/{name}"
+        df.repartition(self.buckets, *by).write.bucketBy(self.buckets, *by).sortBy(*order).option("path", path).option("compression", "zstd").saveAsTable(name)
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        return {"name": name, "by": by, "order": order, "ddl": ddl, "level": level}
+
+    def _get(self, table: dict) -> DataFrame:
+        """A table, made known to this session if another one wrote it."""
+        name = table["name"]
+        if not self.spark.catalog.tableExists(name):
+            by, order = ", ".join(table["by"]), ", ".join(table["order"])
+            self.spark.sql(
+                f"create table {name} ({table['ddl']}) using parquet clustered by ({by}) sorted by ({order}) into {self.buckets} buckets location '{self.root}/{name}'"
+            )
+        return self.spark.table(name)
+
+    def _drop(self, table: dict) -> None:
+        self.spark.sql(f"drop table if exists {table['name']}")
+        common.delete(self.spark, f"{self.root}/{table['name']}")
+
+    def drop_runs(self) -> None:
+        """Give up the runs, as after a load that nothing will follow; results stay readable."""
+        for run in self.runs:
+            self._drop(run)
+        self.runs = []
+        self.save()
+
+    # --- batches
 
     def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Index a batch; a row for each of its rows: id, words, removed words and what is left.
+        """Index a batch; a row for each of its rows: id, copy, words, removed words and what is left.
 
-        The text that is left is its words joined by one space, in column ``kept``.
+        The text that is left is its words joined by one space, in column ``kept``; ``copy`` is the
+        xxhash64 of the text (null: of the empty one), which tells rows of one id apart.
         """
-        docs = batch.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        run = common.written(entries(docs, self.window, self.gram).sortWithinPartitions("anchor", "span", "id", "first"), "run")
-        covered, doubtful = self._merged(run)
-        out = self._applied(docs, covered, doubtful)
+        docs = batch.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        docs = docs.select("id", F.xxhash64("text").alias("copy"), "text")
+        texts = self._put(docs.where("id is not null"), ["id", "copy"], ["id", "copy"], "texts")
+        every = common.written(entries(self._get(texts), self.window, self.gram), "entries")
+        run = self._put(self._firsts(every), ["bucket"], ["bucket", "high", "low"], "run")
+        marks = self._merged(every, run, texts)
+        out = self._applied(self._get(texts), marks).unionByName(self._applied(docs.where("id is null"), None))
         self.runs.append(run)
-        self.texts.append(docs)
-        if len(self.runs) > self.fanout:
-            self.compact()
+        self.texts.append(texts)
+        self.save()
+        self.compact()
         return out.withColumnRenamed("id", id_col)
 
+    def _firsts(self, rows: DataFrame) -> DataFrame:
+        """The first document and place of each (anchor, digest), and the last document."""
+        last = "last" if "last" in rows.columns else "id"
+        out = rows.groupBy("anchor", "high", "low").agg(F.min(F.struct("id", "copy", "first", "n")).alias("e"), F.max(last).alias("last"))
+        return out.select(_bucket("anchor", F.pmod("low", F.lit(SALT))).alias("bucket"), "anchor", "high", "low", "e.*", "last")
+
     def compact(self) -> None:
-        """One run in place of all: of each span its first document and place."""
-        every = self._every(self.runs)
-        low = every.groupBy("anchor", "span").agg(F.min(F.struct("id", "first", "n")).alias("e"))
-        low = low.select("e.*", "anchor", "span").sortWithinPartitions("anchor", "span", "id", "first")
-        self.runs = [common.written(low, "run")]
+        """Merge the runs of each level that has more than ``fanout`` of them to one of the next."""
+        level = 0
+        while level <= max((r["level"] for r in self.runs), default=-1):
+            part = [r for r in self.runs if r["level"] == level]
+            if len(part) > self.fanout:
+                merged = self._firsts(reduce(DataFrame.unionByName, map(self._get, part)))
+                self.runs = [r for r in self.runs if r["level"] != level]
+                self.runs.append(self._put(merged, ["bucket"], ["bucket", "high", "low"], "run", level + 1))
+                self.save()
+                for r in part:
+                    self._drop(r)
+            level += 1
+
+    def met(self, run: dict) -> DataFrame:
+        """Rows of earlier runs whose anchor the new run has: merge joins by bucket, no run is shuffled."""
+        anchors = self._get(run).groupBy("anchor").agg(F.lit(1).alias("one")).select("anchor", F.explode(F.sequence(*(F.lit(i).cast("long") for i in (0, SALT - 1)))).alias("salt"))
+        asked = anchors.select(_bucket("anchor", F.col("salt")).alias("b"))
+        join = lambda old: old.hint("merge").join(asked, F.col("bucket") == F.col("b")).select(*old.columns)
+        return reduce(DataFrame.unionByName, [join(self._get(r)) for r in self.runs])
+
+    def _merged(self, every: DataFrame, run: dict, texts: dict) -> DataFrame:
+        """(id, copy, marks): the windows of the batch that are covered."""
+        old = common.written(self.met(run), "met") if self.runs else None
+        rows = self._get(run).withColumn("new", F.lit(True))
+        rows = rows if old is None else rows.unionByName(old.withColumn("new", F.lit(False)))
+        span = F.struct("high", "low")
+        seen = rows.groupBy("anchor").agg(F.min("id").alias("least"), F.max("last").alias("most"), F.min(span).alias("x"), F.max(span).alias("y"))
+        seen = seen.where("least < most").select(F.col("anchor").alias("a"), (F.col("x") != F.col("y")).alias("many"))
+        shared = rows.join(seen, F.col("anchor") == F.col("a"))
+        firsts = shared.groupBy("anchor", "high", "low").agg(F.min(F.struct("id", "copy", "first", "n", "new")).alias("e"), F.first("many").alias("many"))
+        firsts = common.written(firsts, "firsts")
+        known = firsts.select(F.col("anchor").alias("a"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("e.id").alias("before"), "many")
+        same = (F.col("anchor") == F.col("a")) & (F.col("high") == F.col("h")) & (F.col("low") == F.col("l"))
+        found = every.join(known, same).select("id", "copy", "first", "n", (F.col("before") < F.col("id")).alias("covered"), "many")
+        found = common.written(found.where("covered or many"), "found")
+        covered = found.where("covered").select("id", "copy", "first", "n")
+        # All places of a span in its first document, since all of them may be covered window by window.
+        asked = found.where("not covered").select("id", "copy", "first", "n").unionByName(firsts.where("many and not e.new").select("e.id", "e.copy", "e.first", "e.n"))
+        windows = common.written(self._windows(asked, [*self.texts, texts]), "windows")
+        least = windows.groupBy("high", "low").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+        least = least.select(F.col("high").alias("h"), F.col("low").alias("l"), "least")
+        verified = windows.join(least, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l"))).where("least < id")
+        marks = covered.unionByName(verified.select("id", "copy", "first", F.lit(1).alias("n")))
+        # Of earlier documents there may be marks too; they meet no text of this batch.
+        marks = marks.groupBy("id", "copy").agg(F.collect_list(F.struct("first", "n")).alias("marks"))
+        marks = common.written(marks, "marks")
+        for df in (every, old, firsts, found, windows):
+            if df is not None:
+                common.removed(self.spark, df)
+        return marks
+
+    def _windows(self, spans: DataFrame, tables: list[dict]) -> DataFrame:
+        """(id, copy, first, high, low): digests of all windows of the spans, from their texts."""
+        window = self.window
+        asked = spans.groupBy("id", "copy").agg(F.collect_list(F.struct("first", "n")).alias("marks"))
+        asked = common.written(asked, "asked")
+        kind = spans.schema["id"].dataType.simpleString()
+
+        def digested(batch: pa.RecordBatch) -> Iterator[dict]:
+            for i, x in enumerate(common.utf8(batch.column(2))):
+                words = Words(x)
+                at = windows_of(batch.column(3)[i].as_py(), len(words.words), window)
+                digest, row = words.digests(at, window), pa.array(np.full(len(at), i))
+                yield {"id": batch.column(0).take(row), "copy": batch.column(1).take(row), "first": at.astype(np.int32), "high": digest[:, 0], "low": digest[:, 1]}
+
+        held = reduce(DataFrame.unionByName, [self._marked(self._get(t), asked, "inner") for t in tables])
+        return common.by_batch(held, f"id {kind}, copy long, first int, high long, low long", digested)
 
     @staticmethod
-    def _every(runs: list[DataFrame]) -> DataFrame:
-        out = runs[0]
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out
-
-    def _merged(self, run: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(id, first, n) of the batch's entries that are covered, and of all that have to be verified."""
-        every = run.withColumn("new", F.lit(True))
-        for r in self.runs:
-            every = every.unionByName(r.withColumn("new", F.lit(False)))
-        seen = every.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("span").alias("a"), F.max("span").alias("b"), F.max("new").alias("now"))
-        seen = seen.where("low < high and now").select(F.col("anchor").alias("x"), (F.col("a") < F.col("b")).alias("many"))
-        shared = common.written(every.join(common.written(seen, "shared"), F.col("anchor") == F.col("x")).drop("x"), "shared")
-        firsts = shared.groupBy("anchor", "span").agg(F.min("id").alias("low"))
-        firsts = common.written(firsts.select(F.col("anchor").alias("x"), F.col("span").alias("y"), "low"), "firsts")
-        judged = shared.join(firsts, (F.col("anchor") == F.col("x")) & (F.col("span") == F.col("y")))
-        judged = common.written(judged.where("(new and low < id) or (many and low = id)").select("id", "first", "n", (F.col("low") < F.col("id")).alias("covered")), "judged")
-        return judged.where("covered").drop("covered"), judged.where("not covered").drop("covered")
-
-    def _applied(self, docs: DataFrame, covered: DataFrame, doubtful: DataFrame) -> DataFrame:
-        window, kind = self.window, docs.schema["id"].dataType.simpleString()
-        span = "array<struct<first:int,n:int>>"
-        gathered = lambda df, name: df.groupBy("id").agg(F.collect_list(F.struct("first", "n")).alias(name))
-        both = covered.withColumn("sure", F.lit(True)).unionByName(doubtful.withColumn("sure", F.lit(False)))
-        both = both.groupBy("id").agg(
-            F.collect_list(F.when(F.col("sure"), F.struct("first", "n"))).alias("covered"),
-            F.collect_list(F.when(~F.col("sure"), F.struct("first", "n"))).alias("doubtful"),
-        )
-        marked = docs.join(both.withColumnRenamed("id", "mark"), F.col("id") == F.col("mark"), "left").drop("mark")
-        # Documents without marks are done here; only the others' texts are kept on.
-        result = "words long, removed long, kept string"
-
-        def plain(batch: pa.RecordBatch) -> Iterator[dict]:
-            out: dict[str, list] = {"text": [], "words": [], "removed": [], "kept": []}
-            for x, m in zip(common.utf8(batch.column(1)), batch.column(2).is_valid().to_pylist(), strict=True):
-                words = [] if m else x.split()
-                for k, v in zip(out, (x if m else None, len(words), 0, None if m else b" ".join(words)), strict=True):
-                    out[k].append(v)
-            yield {"id": batch.column(0), **{k: pa.array(v, pa.binary()).cast(pa.string()) if k in ("text", "kept") else v for k, v in out.items()}, "covered": batch.column(2), "doubtful": batch.column(3)}
-
-        ddl = f"id {kind}, text string, {result}, covered {span}, doubtful {span}"
-        held = common.written(common.by_batch(marked.select("id", "text", "covered", "doubtful"), ddl, plain), "marked")
-        part = held.where("covered is not null").select("id", "text", "covered", "doubtful")
-        # Historical documents whose windows are needed are read again.
-        verify = part.where(F.size("doubtful") > 0).select("id", "text", "doubtful")
-        for old in self.texts:
-            asked = gathered(doubtful, "doubtful").withColumnRenamed("id", "mark")
-            verify = verify.unionByName(old.join(asked, F.col("id") == F.col("mark")).select("id", "text", "doubtful"))
-
-        def hashed(batch: pa.RecordBatch) -> Iterator[dict]:
-            for i, x in enumerate(common.utf8(batch.column(1))):
-                words = word_hashes(x)
-                at = _windows(batch.column(2)[i].as_py(), len(words), window)
-                high, low = (span_hash(prefix(words, k), at, window, k).view(np.int64) for k in (0, 1))
-                yield {"id": batch.column(0).take(pa.array(np.full(len(at), i))), "first": at.astype(np.int32), "high": high, "low": low}
-
-        windows = common.written(common.by_batch(verify, f"id {kind}, first int, high long, low long", hashed), "windows")
-        least = windows.groupBy("high", "low").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-        least = common.written(least.select(F.col("high").alias("x"), F.col("low").alias("y"), "least"), "least")
-        again = windows.join(least, (F.col("high") == F.col("x")) & (F.col("low") == F.col("y"))).where("least < id")
-        again = gathered(again.select("id", "first", F.lit(1).alias("n")), "verified").withColumnRenamed("id", "mark")
-        last = part.join(again, F.col("id") == F.col("mark"), "left").select("id", "text", "covered", "verified")
+    def _marked(texts: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+        """Texts with their marks; the texts stay in their buckets, the marks come to them."""
+        marks = marks.select(F.col("id").alias("i"), F.col("copy").alias("c"), "marks").hint("shuffle_hash")
+        return texts.join(marks, (F.col("id") == F.col("i")) & (F.col("copy") == F.col("c")), how).select("id", "copy", "text", "marks")
+
+    def _applied(self, texts: DataFrame, marks: DataFrame | None) -> DataFrame:
+        """Each text's words, how many are removed, and what is left."""
+        window, kind = self.window, texts.schema["id"].dataType.simpleString()
+        if marks is None:
+            texts = texts.withColumn("marks", F.lit(None).cast("array<struct<first:int,n:int>>"))
+        else:
+            # One row of each text is marked; repeated rows get the same marks.
+            texts = self._marked(texts, marks, "left")
 
         def applied(batch: pa.RecordBatch) -> Iterator[dict]:
             out: dict[str, list] = {"words": [], "removed": [], "kept": []}
-            for i, x in enumerate(common.utf8(batch.column(1))):
-                words = x.split()
-                marks = [*batch.column(2)[i].as_py(), *(batch.column(3)[i].as_py() or ())]
-                removed, kept = judged(words, _windows(marks, len(words), window), window)
+            for i, x in enumerate(common.utf8(batch.column(2))):
+                words, marks = x.split(), batch.column(3)[i].as_py()
+                removed, kept = judged(words, windows_of(marks, len(words), window), window) if marks else (0, b" ".join(words))
                 for k, v in zip(out, (len(words), removed, kept), strict=True):
                     out[k].append(v)
-            yield {"id": batch.column(0), **out, "kept": pa.array(out["kept"], pa.binary()).cast(pa.string())}
+            yield {"id": batch.column(0), "copy": batch.column(1), **out, "kept": pa.array(out["kept"], pa.binary()).cast(pa.string())}
 
-        done = common.by_batch(last, f"id {kind}, {result}", applied)
-        return held.where("covered is null").select("id", "words", "removed", "kept").unionByName(done)
+        return common.by_batch(texts.select("id", "copy", "text", "marks"), f"id {kind}, copy long, words long, removed long, kept string", applied)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, window: int = WINDOW, gram: int = GRAM, fanout: int = FANOUT
+) -> DataFrame:
     """Load documents into a new index, in ``batches`` ranges of ids, the smaller ids first."""
-    index = FingerprintIndex(docs.sparkSession, window, gram)
+    index = FingerprintIndex(docs.sparkSession, None, window, gram, fanout)
     cuts = docs.select(F.percentile_approx(id_col, [k / batches for k in range(1, batches)])).first()[0] if batches > 1 else None
     cuts = sorted(set(cuts or []))
-    key, out = F.col(id_col), None
+    key, out = F.col(id_col), []
     for i, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
         held = (F.lit(True) if low is None else key > low) & (F.lit(True) if high is None else key <= high)
-        part = index.add(docs.where(held | key.isNull() if i == 0 else held), id_col, text_col)
-        out = part if out is None else out.unionByName(part)
-    return out
+        out.append(index.add(docs.where(held | key.isNull() if i == 0 else held), id_col, text_col))
+    index.drop_runs()
+    return reduce(DataFrame.unionByName, out)
 
 
 def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,57 @@ def test_repetitive_texts_and_batches(spark, batches, vocabulary):
     assert got == brute(rows)
 
 
+def made(rng, rows, vocabulary=300):
+    passages = [[f"w{rng.randrange(vocabulary)}" for _ in range(rng.randrange(30, 90))] for _ in range(8)]
+    return [(i, " ".join(w for _ in range(rng.randrange(1, 5)) for w in rng.choice(passages))) for i in rows]
+
+
+def results(df):
+    return {r.doc_id: (r.words, r.removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in df.collect()}
+
+
+def test_an_index_goes_on_in_another_session(spark, tmp_path):
+    """Batches over two sessions with compaction between them equal one load of all."""
+    rng = random.Random(3)
+    rows = made(rng, range(90))
+    schema = "doc_id long, text string"
+    index = substring.FingerprintIndex(spark, str(tmp_path / "index"))
+    got = {}
+    for k in range(3):
+        got |= results(index.add(spark.createDataFrame(rows[15 * k : 15 * (k + 1)], schema)))
+    assert [r["level"] for r in index.runs] == [1]
+    assert len([p for p in (tmp_path / "index").iterdir() if "_run_" in p.name]) == 1
+    other = spark.newSession()
+    for name in [t.name for t in other.catalog.listTables() if t.name.startswith("brindle_")]:
+        other.sql(f"drop table {name}")  # a new session's catalog knows nothing of them
+    again = substring.FingerprintIndex.open(other, str(tmp_path / "index"))
+    for k in range(3, 6):
+        got |= results(again.add(other.createDataFrame(rows[15 * k : 15 * (k + 1)], schema)))
+    assert sorted(r["level"] for r in again.runs) == [1, 1]
+    assert got == brute(rows)
+
+
+def test_no_run_is_shuffled(spark):
+    """The join of a batch with earlier runs: an exchange on the side of the batch only."""
+    rng = random.Random(4)
+    index = substring.FingerprintIndex(spark, fanout=8)
+    for k in range(3):
+        index.add(spark.createDataFrame(made(rng, range(50 * k, 50 * k + 50)), "doc_id long, text string"))
+    plan = index.met(index.runs.pop())._jdf.queryExecution().executedPlan().toString()
+    joins = plan.count("SortMergeJoin")
+    assert joins == 2
+    for part in plan.split("SortMergeJoin")[1:]:
+        left = part[: part.index("Exchange")]  # the run comes first in the join
+        assert "Bucketed: true" in left and "brindle_run" in left
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (2, "x " + long), (2, "other words " * 40), (2, "x " + long), (3, "other words " * 40)]
+    got = sorted((r.doc_id, r.words, r.removed) for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 60, 0), (2, 61, 60), (2, 61, 60), (2, 80, 0), (3, 80, 80)]
+
+
 def test_odd_rows(odd, empty):
     got = substring.dedup(odd).collect()
     assert len(got) == 10 and all(r.removed == 0 for r in got)
