@@ -67,8 +67,26 @@ def test_odd_vectors(spark):
     assert nn_descent.linked(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_and_ids(spark):
+    """A row that stands twice is one vector; of an id's different vectors one stands for it."""
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [0.0, 2.0], 1), (3, [0.0, 2.0], 1), (4, [1.0, 0.0], 2), (4, [0.6, 0.8], 2), (5, [1.0, 0.0], 2), (6, [0.6, 0.8], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = [(r.vec_id, r.n_links, r.component_id) for r in nn_descent.linked(df).collect()]
+    assert sorted(got)[:5] == [(1, 0, 1), (1, 0, 1), (2, 1, 2), (3, 1, 2), (3, 1, 2)]
+    assert sorted(got)[5:7] == [(4, 1, 4), (4, 1, 4)] and sorted(n for i, n, _ in got if i in (5, 6)) == [0, 1]
+
+
+def test_an_audit_that_cannot_pass_ends_in_whole_comparison(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_start", lambda nodes, k, turn=0: nodes.selectExpr("id", "id as other", "cast(-1 as double) as sim", "true as new").where("false"))
+    rng = np.random.default_rng(13)
+    rows = [(i, v, i % 2) for i, v in enumerate(v for _ in range(60) for v in around(rng, rng.standard_normal(16), 4, 0.1))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df).collect()}
+    assert got == brute(rows)
+
+
 def test_large_components_by_blocks(spark, monkeypatch):
-    monkeypatch.setattr(nn_descent, "BLOCK", 64)
+    monkeypatch.setattr(nn_descent, "ROWS", 64)
     rng = np.random.default_rng(4)
     rows = [(i, v, 1) for i, v in enumerate(around(rng, rng.standard_normal(16), 400, 0.2))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
@@ -102,7 +120,7 @@ def test_a_lost_link_beside_a_dense_component_is_mended(spark, monkeypatch):
     rows += [(v, 1) for _ in range(200) for v in around(rng, rng.standard_normal(24), 2, 0.1)]
     rows = [(i, v, g) for i, (v, g) in enumerate(rows)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, rounds=1, small=100).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, rounds=1).collect()}
     assert got == brute(rows)
 
 
@@ -111,6 +129,6 @@ def test_search_and_audit_by_label(spark):
     rows = [(v, g) for g in range(2) for _ in range(400) for v in around(rng, rng.standard_normal(24), 3, 0.1)]
     rows = [(i, v, g) for i, (v, g) in enumerate(rows)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df, small=100).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(df).collect()}
     want = brute(rows)
     assert np.mean([got[i] == want[i] for i in want]) >= 0.97
