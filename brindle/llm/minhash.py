@@ -20,8 +20,10 @@ with the smallest id as representative, so copies are never paired. Among repres
 3. what is left are pairs of one bucket in different components. Buckets of up to SMALL texts yield
    all of those to be verified. Larger ones are joined into families (texts that share a large
    bucket, directly or by others); a family's texts are compared exactly, block by block, texts of
-   too different sizes apart, and of the links found a block returns a spanning forest only, so
-   the work may grow with a family's square but what is shuffled and returned does not. Pairs
+   too different sizes apart, and of the links found a block returns a spanning forest only. A block
+   has a SPREADth of its family, BLOCK texts at least and LARGEST at most, and a text goes to each of
+   its family's blocks: up to SPREAD * LARGEST texts of a family of like sizes what is shuffled grows
+   with their number, beyond that with its square, as the comparing does from the start. Pairs
    within a component need no check, since they can't change a class. Components are then
    computed again over all links.
 
@@ -31,7 +33,9 @@ is lost, and no bucket is cut off.
 Defined results: a null id, and a text without words (null, empty, white space), is in no class
 but its own (class null for a null id) and is kept; a text of fewer than five words has all its
 words as its one shingle; repeated rows get the same class, one row each, and are told apart from
-other copies only by their id; an empty table gives an empty table; other columns are not read.
+other copies only by their id; of rows of one id with different texts each is judged by its own, but
+only one of them (of the smallest digest) can link the id's class to others; an empty table gives an
+empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -52,9 +56,9 @@ from .shingles import jaccard, mix, shingles, word_hashes
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-#: A bucket of more texts yields no pairs; its family is compared in blocks of BLOCK texts.
+#: A bucket of more texts yields no pairs; its family is compared in some SPREAD blocks of BLOCK to LARGEST texts.
 SMALL = 64
-BLOCK = 512
+BLOCK, SPREAD, LARGEST = 512, 16, 2048
 #: Elements whose darts are thrown at once.
 SLICE = 300_000
 
@@ -81,7 +85,7 @@ def _throw(elements, weights, owner, limit, best, out, k) -> None:
     while len(elements):
         e, w, o = elements, weights, owner
         rank, dart = np.zeros(len(e)), np.uint64(0)
-        base = mix(e + np.uint64(0xD1B54A32D192ED03) * np.uint64(strip + 1))
+        base = mix(e + np.array(strip + 1, np.uint64) * np.uint64(0xD1B54A32D192ED03))
         while len(e):
             dart += np.uint64(1)
             with np.errstate(over="ignore"):
@@ -111,7 +115,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """(id, words, size, high, low, bands): counts of words and shingles, a hash of the words, the bands."""
+    """(id, copy, words, size, high, low, bands): a hash of the text, counts of words and shingles, a digest of the words, the bands."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def of(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -119,7 +123,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
         while at < batch.num_rows:
             held: dict[str, list] = {"words": [], "size": [], "high": [], "low": []}
             elements, sizes, first = [], [], at
-            while at < batch.num_rows and sum(sizes[-1:]) < SLICE and len(sizes) < 500:
+            while at < batch.num_rows and sum(sizes) < SLICE and len(sizes) < 500:
                 text = texts[at].as_py() or b""
                 words = word_hashes(text)
                 digest = xxhash.xxh3_128_intdigest(b" ".join(text.split()))
@@ -133,9 +137,10 @@ def signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
             # Weight 1 each: similarity of signatures is that of the sets, as verified.
             with np.errstate(over="ignore"):
                 keys = band_keys(signatures(np.concatenate(elements), np.ones(len(owner)), owner, len(sizes), bands * rows), bands, rows)
-            yield {id_col: ids.slice(first, at - first), **held, "bands": [*keys.view(np.int64)]}
+            yield {"id": ids.slice(first, at - first), "copy": batch.column(2).slice(first, at - first), **held, "bands": [*keys.view(np.int64)]}
 
-    return common.by_batch(docs.select(id_col, text_col), f"`{id_col}` {kind}, words long, size long, high long, low long, bands array<long>", of)
+    copies = docs.select(id_col, text_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return common.by_batch(copies, f"id {kind}, copy long, words long, size long, high long, low long, bands array<long>", of)
 
 
 @lru_cache(maxsize=64)
@@ -221,7 +226,8 @@ def _within_families(large: DataFrame, labelled: DataFrame, texts: DataFrame, th
     sizes = held.groupBy("family", "at").agg(F.count("*").alias("n"), F.min("comp").alias("first"), F.max("comp").alias("last"), F.min("guest").alias("home"))
     sizes = sizes.where("first <> last and home = 0").select(F.col("family").alias("f"), F.col("at").alias("s"), "n")
     held = held.join(sizes, (F.col("family") == F.col("f")) & (F.col("at") == F.col("s")))
-    blocks = F.ceil(F.col("n") / block).cast("int")
+    rows = F.least(F.lit(max(block, LARGEST)), F.greatest(F.lit(block), F.ceil(F.col("n") / SPREAD)))
+    blocks = F.ceil(F.col("n") / rows).cast("int")
     held = held.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     key = F.xxhash64("family", "at", F.least("own", "with"), F.greatest("own", "with"))
     held = held.select(key.alias("key"), "id", "comp", "guest", "own", (F.col("own") == F.col("with")).alias("alone"))
@@ -239,26 +245,32 @@ def _within_families(large: DataFrame, labelled: DataFrame, texts: DataFrame, th
         found = forest(sets, comps, may, threshold)
         return {"a": ids[[i for i, _ in found]], "b": ids[[j for _, j in found]]} if found else None
 
-    return common.in_groups(held, "key", f"a {kind}, b {kind}", links, 16 * block)  # hashing keeps blocks well below this
+    return common.in_groups(held, "key", f"a {kind}, b {kind}", links, 8 * max(block, LARGEST), whole=True)  # hashing deals blocks evenly
 
 
 def classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS,
     rows: int = ROWS, small: int = SMALL, block: int = BLOCK,
 ) -> DataFrame:
-    """A row for each row of ``docs``: its id, ``class_id`` (the smallest id of its class) and ``kept``."""
+    """A row for each row of ``docs``: its id, ``copy`` (xxhash64 of its text), ``class_id`` (the smallest id of its class) and ``kept``."""
     spark = docs.sparkSession
-    held = common.written(signed(docs, id_col, text_col, bands, rows).withColumnRenamed(id_col, "id"), "signatures")
+    held = common.written(signed(docs, id_col, text_col, bands, rows), "signatures")
     alive = held.where("id is not null and words > 0")
     # Texts of equal words: one class, the smallest id stands for it.
-    copies = common.written(alive.groupBy("high", "low").agg(F.min("id").alias("id"), F.min("size").alias("size"), F.min("bands").alias("bands")), "copies")
-    reps = copies.select("id", "size", "bands")
+    rep = F.min(F.struct("id", "copy")).alias("r")
+    copies = alive.groupBy("high", "low").agg(rep, F.min("size").alias("size"), F.min("bands").alias("bands"))
+    reps = copies = common.written(copies.select("high", "low", "r.*", "size", "bands"), "copies")
+    if copies.count() > copies.select("id").distinct().count():
+        # Of an id's different texts that may stand for classes only the one of the smallest digest does.
+        reps = copies.groupBy("id").agg(F.min(F.struct("high", "low", "copy", "size", "bands")).alias("r"))
+        reps = common.written(reps.select("id", "r.*"), "reps")
     keys = reps.select("id", F.explode("bands").alias("key"))
     hubs = common.written(keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "hubs")
     first = common.written(keys.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     candidates = hubs.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = common.written(texts.join(candidates.hint("merge"), "id", "left_semi"), "texts")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("copy", F.xxhash64("text"))
+    asked = reps.select("id", "copy").join(candidates.hint("merge"), "id", "left_semi").hint("merge")
+    texts = common.written(texts.join(asked, ["id", "copy"], "left_semi").select("id", "text"), "texts")
     links = common.written(verified(first, texts, threshold), "links")
     nodes = components(links)
     # Pairs across components.
@@ -272,18 +284,19 @@ def classes(
     more = common.written(more, "links")
     if not more.isEmpty():
         nodes = components(links.unionByName(more))
-    comp = reps.select("id").join(nodes, F.col("id") == F.col("node"), "left").select(F.col("id").alias("rep"), F.coalesce("component", "id").alias("class_id"))
-    of_copy = common.written(copies.select("high", "low", F.col("id").alias("rep")).join(comp, "rep").select("high", "low", "class_id"), "classes")
+    comp = reps.join(nodes, F.col("id") == F.col("node")).select("high", "low", "component")
+    of_copy = copies.select("high", "low", F.col("id").alias("rep")).join(comp, ["high", "low"], "left")
+    of_copy = common.written(of_copy.select("high", "low", F.coalesce("component", "rep").alias("class_id")), "classes")
     out = held.join(of_copy, ["high", "low"], "left")
     class_id = F.when(F.col("words") > 0, F.when(F.col("id").isNotNull(), F.col("class_id"))).otherwise(F.col("id"))
-    out = out.select(F.col("id").alias(id_col), class_id.alias("class_id"))
-    for df in (hubs, first, texts, labelled, mixed, rest):
+    out = out.select(F.col("id").alias(id_col), "copy", class_id.alias("class_id"))
+    for df in (copies, hubs, first, texts, links, labelled, mixed, rest, more):
         common.removed(spark, df)
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("class_id"), F.lit(True)))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(common.table(spark, sf_dir, "documents"))
+    return classes(common.table(spark, sf_dir, "documents")).drop("copy")
 
 
 def op9_sql() -> str:
