@@ -2,8 +2,10 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from brindle.llm import pii
+from brindle.llm import common, pii
 from tests.llm.test_minhash import brute_classes
 from tests.llm.test_rows import base_pii, pieces_hold
 from tests.llm.test_substring import brute
@@ -42,7 +44,27 @@ def test_run(spark, sf_dir):
 
 
 def test_odd_rows(spark, odd, empty, sf_dir):
-    for docs in (odd, empty):
-        docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-        for _, stage in corpus_pipeline.STAGES:
-            docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), stage(spark, docs, sf_dir).schema)
+    """Nulls, empty and long texts, repeated rows, and columns whose names the stages use themselves."""
+    more = odd.withColumns({c: F.lit("y") for c in ("key", "copy_", "rest", "doc", "marks", "class_id")})
+    for docs in (odd, more, empty):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, sf_dir)
+            if k < 4:
+                assert out.columns == docs.columns
+                docs = common.written(out, "stage")
+            else:
+                assert out.count() >= docs.count()
+
+
+def test_rows_of_one_id(spark, sf_dir):
+    """Each row is judged by its own text at every stage."""
+    base = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+    other = " ".join(f"else{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+    rows = [(1, base), (2, "start " + base + " " + other), (3, base + " mail me@x.org"), (3, other), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {(r.doc_id, (r.text or "")[:5]) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()}
+    # Of id 3 one text only can be found alike to another document.
+    assert left - {(3, "worda")} == {(1, "worda"), (2, "start"), (3, "elsea"), (4, ""), (5, "")}
+    got = sorted((r.doc_id, r.text or "", r.n_chars) for r in corpus_pipeline.passages(spark, docs, sf_dir).collect())
+    assert [(i, n) for i, _, n in got] == [(1, len(base)), (2, len("start " + other)), (3, len("mail me@x.org")), (4, 0), (5, 0)]
+    assert got[1][1] == "start " + other and got[2][1] == "mail me@x.org"  # the other row of id 3 is a passage of 2
