@@ -10,6 +10,7 @@ from ..functions import scalars as S
 from ..model import Tables, landed, shared
 from ..operators import deid, documents, leakgate, measures, merge, monitoring
 from ..plans import rules
+from ..plans.contracts import layout_scores
 from ..sources import files
 from ..streaming import flows
 from . import feeds, query
@@ -191,20 +192,23 @@ query("distinct_errors", "select 'load ######## [] failed at ' || event_type as
 
 # --- sources
 
-HEADERS = [("a", ["claim_id", "member_mrn", "fill_date"]), ("b", ["fill_date", "claim_id", "member_mrn", "drug_name"]), ("c", ["claim_id", "member_mrn", "filled_on"]), ("d", ["claim_id", "claim_id", "fill_date"]), ("e", ["x"])]
-
-
-def _layouts(t: Tables) -> DataFrame:
-    """Which layout each header has, or which is closest to it."""
-    source, out = feeds.CLAIMS.sources[0], []
-    for name, header in HEADERS:
-        layout = source.matching(header)
-        best, score, lacks, new = source.closest(header)
-        out.append((name, layout.version if layout else None, best.version, round(score, 6), ",".join(lacks), ",".join(new)))
-    return t.spark.createDataFrame(out, "file string, version int, closest int, score double, missing string, unexpected string")
-
-
-query("layout_match_scores", "select * from (values ('a', 1, 1, 1.0::double, '', ''), ('b', 2, 2, 1.0::double, '', ''), ('c', null, 1, 0.5::double, 'fill_date', 'filled_on'), ('d', null, 1, 0.666667::double, 'member_mrn', ''), ('e', null, 2, 0.0::double, 'claim_id,drug_name,fill_date,member_mrn', 'x')) t(file, version, closest, score, missing, unexpected)")(_layouts)
+def _headers(t: Tables) -> DataFrame:
+    """A header for each supplier: columns are left out, renamed, added and repeated by its key."""
+    k = F.col("s_suppkey")
+    said = [F.lit("claim_id"), F.when(k % 5 != 0, "member_mrn"), F.when(k % 3 == 0, "filled_on").otherwise("fill_date"), F.when(k % 2 == 0, "drug_name"), F.when(k % 7 == 0, "claim_id")]
+    return t.supplier.select(k.alias("file"), F.lit("claims").alias("source"), F.filter(F.array(*said), lambda x: x.isNotNull()).alias("header"))
+
+
+query("layout_match_scores", """
+    with h as (select s_suppkey as file, list_filter(['claim_id', case when s_suppkey % 5 <> 0 then 'member_mrn' end, case when s_suppkey % 3 = 0 then 'filled_on' else 'fill_date' end,
+        case when s_suppkey % 2 = 0 then 'drug_name' end, case when s_suppkey % 7 = 0 then 'claim_id' end], lambda x: x is not null) as h from supplier),
+    l as (select * from (values (1, ['claim_id', 'fill_date', 'member_mrn']), (2, ['claim_id', 'drug_name', 'fill_date', 'member_mrn'])) t(version, names)),
+    s as (select file, h, version, names, cast(len(list_intersect(h, names)) as double) / len(list_distinct(list_concat(h, names))) as score from h join l on true)
+    select file, case when list_sort(h) = names then version end as version, version as closest, round(score, 6) as score, array_to_string(list_sort(list_filter(names, lambda x: not list_contains(h, x))), ',') as missing,
+        array_to_string(list_sort(list_distinct(list_filter(h, lambda x: not list_contains(names, x)))), ',') as unexpected
+    from s qualify row_number() over (partition by file order by score desc, version desc) = 1""")(
+    lambda t: layout_scores(_headers(t), feeds.CLAIMS.sources).drop("source").withColumn("score", F.round("score", 6))
+)
 query("canonical_union_layouts", "select claim_id, member_mrn as patient_id, fill_date, case when source = 'B' then drug_name end as drug_name, case when source = 'B' then 2 else 1 end as layout from claims_text")(
     lambda t: _union(t)
 )

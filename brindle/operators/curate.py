@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +35,14 @@ def typed_labs(labs: DataFrame) -> DataFrame:
     out = labs.withColumn("censor", F.when(said.rlike(r"^[<>] ?[0-9]+([.][0-9]+)?\z"), F.left(said, F.lit(1))))
     out = out.withColumn("result_value", decimal_number(number))
     plain = (F.col("units") == "%") | ((F.col("analyte") == "LDL") & (F.col("units") == "mg/dL"))
-    converted = F.round(F.col("result_value") * F.lit("0.09148").cast("decimal(6,5)") + F.lit("2.152").cast("decimal(4,3)"), 1)
-    value = F.when(plain, F.round("result_value", 1).cast("decimal(10,1)")).when(F.col("units") == "mmol/mol", converted.cast("decimal(10,1)"))
-    return out.withColumn("unit_known", plain | (F.col("units") == "mmol/mol")).withColumn("value_std", value)
+    conversion = F.when(plain, "none").when(F.col("units") == "mmol/mol", "ifcc_to_ngsp")
+    return out.withColumn("unit_known", plain | (F.col("units") == "mmol/mol")).withColumn("value_std", standard(F.col("result_value"), conversion))
+
+
+def standard(value: Column, conversion: Column) -> Column:
+    """A number in the standard unit, by how it is converted; null where no conversion is known."""
+    percent = F.round(value * F.lit("0.09148").cast("decimal(6,5)") + F.lit("2.152").cast("decimal(4,3)"), 1)
+    return F.when(conversion == "none", F.round(value, 1).cast("decimal(10,1)")).when(conversion == "ifcc_to_ngsp", percent.cast("decimal(10,1)"))
 
 
 def lab_results(labs: DataFrame) -> DataFrame:
@@ -45,8 +52,14 @@ def lab_results(labs: DataFrame) -> DataFrame:
     return good.select("lab_result_id", "patient_id", "collected_date", "analyte", F.col("value_std").alias("value"), "censor", (F.row_number().over(last) == 1).alias("is_most_recent"))
 
 
-def typed_screens(screens: DataFrame, low: int = 0, high: int = 3) -> DataFrame:
-    """Answers as numbers in range, or as Y, N or D; how many are neither blank nor valid."""
+def typed_screens(
+    screens: DataFrame, low: int = 0, high: int = 3, keep: Sequence[str] = ("screening_id", "patient_id", "screen_date"), reported: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Answers as numbers in range, or as Y, N or D; how many are neither blank nor valid.
+
+    ``reported`` names columns with a platform's own totals and the items that they are of; where all
+    items are answered and their sum is another, ``total_mismatch`` says so.
+    """
     scored, domains = [*model.PHQ9, *model.GAD7], model.SDOH5
     number = {c: whole_number(text(c)) for c in scored}
 
@@ -57,10 +70,16 @@ def typed_screens(screens: DataFrame, low: int = 0, high: int = 3) -> DataFrame:
 
     bad = wrong(scored, lambda said: full_match(said, "-?[0-9]+") & said.try_cast("int").between(low, high))
     worse = wrong(domains, lambda said: F.upper(said).isin("Y", "N", "D"))
+    told = lambda found: F.array_join(F.transform(found, lambda x: F.concat(x["item"], F.lit("="), x["said"])), "; ")
+    more = []
+    if reported:
+        sums = {name: reduce(add, [F.when(number[c].between(low, high), number[c]) for c in items]) for name, items in reported.items()}
+        apart = [F.when(F.col(name) != total, F.concat(F.lit(f"{name} "), F.col(name).cast("string"), F.lit(", items "), total.cast("string"))) for name, total in sums.items()]
+        more = [told(worse).alias("bad_domains_detail"), F.concat_ws("; ", *apart).alias("total_mismatch")]
     return screens.select(
-        "screening_id", "patient_id", "screen_date", *(F.when(number[c].between(low, high), number[c]).alias(c) for c in scored),
+        *keep, *(F.when(number[c].between(low, high), number[c]).alias(c) for c in scored),
         *(F.upper(text(c)).alias(c) for c in domains), F.size(bad).alias("bad_items"),
-        F.array_join(F.transform(bad, lambda x: F.concat(x["item"], F.lit("="), x["said"])), "; ").alias("bad_items_detail"), F.size(worse).alias("bad_domains"),
+        told(bad).alias("bad_items_detail"), F.size(worse).alias("bad_domains"), *more,
     )
 
 
@@ -113,11 +132,11 @@ def screening_items(screens: DataFrame) -> DataFrame:
     return long.withColumn("instrument", name)
 
 
-def net_fills(claims: DataFrame) -> DataFrame:
+def net_fills(claims: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Paid claims that no reversal takes back."""
     back = claims.where("claim_status = 'R'").select("claim_id")
     paid = claims.where("claim_status = 'P'")
-    return paid.join(back, "claim_id", "left_anti").select("claim_id", "patient_id", "fill_date", "drug_name", "drug_class", "days_supply")
+    return paid.join(back, "claim_id", "left_anti").select("claim_id", "patient_id", "fill_date", "drug_name", "drug_class", "days_supply", *more)
 
 
 def appointments(typed: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle import pipeline
+from brindle.feeds import CARRIED, Feed
 from brindle.functions import scalars as S
 from brindle.operators import deid, documents, measures, merge
 from brindle.plans import dag, rules
-from brindle.plans.contracts import Contract, ContractError, Layout, Rule, Source
+from brindle.plans.contracts import Contract, ContractError, Layout, Rule, Source, layout_scores
 from brindle.sources import files
 from brindle.sources.state import Store
 
@@ -51,8 +52,6 @@ def test_functions(spark):
 
 
 def test_contracts_are_checked():
-    assert CONTRACT.sources[0].matching(["Days", "MRN", "Fill"]).version == 1
-    assert CONTRACT.sources[0].matching(["Days", "MRN", "Fill", "Fill"]) is None
     bad = {"feed": "x", "natural_key": ["k"], "columns": {"a": "secret"}, "rules": [{"id": "1", "type": "odd", "action": "warn"}, {"id": "1", "type": "parse", "action": "stop", "params": {}}]}
     with pytest.raises(ContractError, match="k: key is no column") as e:
         Contract.from_dict(bad)
@@ -61,6 +60,13 @@ def test_contracts_are_checked():
         Contract("x", (), {}, (Rule("1", "on_roster", "quarantine", {"column": "a"}, retryable=True),), snapshot=True)
 
 
+def test_layouts_are_matched_by_name(spark):
+    heads = [("a", ["Days", "MRN", "Fill"]), ("b", ["Days", "MRN", "Fill", "Fill"]), ("c", ["Fill", "Patient", "Days"]), ("d", [])]
+    df = spark.createDataFrame([(f, "fills", h) for f, h in heads], "file string, source string, header array<string>")
+    got = {r.file: (r.version, r.closest, round(r.score, 3), r.missing, r.unexpected) for r in layout_scores(df, CONTRACT.sources).collect()}
+    assert got == {"a": (1, 1, 1.0, "", ""), "b": (None, 1, 1.0, "", ""), "c": (None, 1, 0.5, "MRN", "Patient"), "d": (None, 1, 0.0, "Days,Fill,MRN", "")}
+
+
 def test_nulls_pass_all_rules_but_required(spark):
     rows = spark.createDataFrame([(None, None, None, None, "l", 1, date(2024, 1, 1))], "fill_id string, patient_id string, days_raw string, days int, load_id string, row_num int, extract_date date")
     got = rules.findings(rules.evaluated(rows, CONTRACT, spark.createDataFrame([("1",)], "patient_id string"))).collect()
@@ -85,59 +91,15 @@ def test_csv_is_read_exactly(spark, tmp_path):
     found = files.discovered(spark, str(tmp_path), "*.csv", with_content=True)
     assert found.first().arrival == date(2024, 1, 5)
     rows = files.csv_rows(found)
-    assert files.headers(rows)[0][1] == ["Fill", "MRN", "Days"]
-    assert [(r.row_num, r.width, r.fields[0]) for r in rows.orderBy("row_num").collect()] == [(1, 3, "1"), (3, 2, "3"), (4, 4, "x, y")]
-    good, bad = files.canonical(rows, CONTRACT.sources[0].layouts[0], CONTRACT, "L")
-    assert (good.count(), [r.detail for r in bad.orderBy("row_num").collect()]) == (1, ["2 fields, 3 expected", "4 fields, 3 expected"])
-
-
-def drop(inbox, day, name, *lines):
-    (inbox / day).mkdir(exist_ok=True)
-    (inbox / day / name).write_text("\n".join(lines) + "\n")
-
-
-def test_runs_of_a_feed(spark, tmp_path):
-    inbox, store = tmp_path / "in", Store(spark, str(tmp_path / "store"))
-    inbox.mkdir()
-    feed = pipeline.Feed(CONTRACT, typed)
-    roster = lambda *ids: spark.createDataFrame([(i,) for i in ids], "patient_id string")
-    go = lambda day, n, *ids: pipeline.run_feed(spark, feed, str(inbox), store, date.fromisoformat(day), f"run{n}", roster(*ids))
-    drop(inbox, "2024-01-05", "fills_20240105.csv", "Fill,MRN,Days", "a,1,30", "b,00000002,30", "c,00000009,10", "d,,5", "e,00000001,2.5", "f,00000001,1", "f,00000001,2", "short")
-    first = go("2024-01-05", 1, "00000001", "00000002")
-    assert first["decision"] == "PUBLISH" and first["changes"] == {"inserted": 2}
-    load = first["loads"][0]
-    assert (load["rows_staged"], load["rows_passed"], load["rows_quarantined"], load["rows_repaired"], load["rows_misshapen"], load["adds_up"]) == (7, 2, 5, 1, 1, True)
-    held = {(r.fill_id, r.rule_ids) for r in store.read("fills_quarantine").collect()}
-    assert held == {("c", "F-4"), ("d", "F-2"), ("e", "F-3"), ("f", "F-5")}
-    # Nothing new: only the retryable row is looked at again, and still held.
-    assert go("2024-01-06", 2, "00000001", "00000002")["changes"] == {"missing": 2}
-    assert store.read("fills").count() == 2
-    # Its patient comes; the same bytes under another name, and an unknown layout, are not loaded.
-    drop(inbox, "2024-01-12", "fills_20240112.csv", (inbox / "2024-01-05/fills_20240105.csv").read_text().rstrip("\n"))
-    drop(inbox, "2024-01-12", "fills_20240111.csv", "Fill,Patient,Days", "x,1,1")
-    third = go("2024-01-12", 3, "00000001", "00000002", "00000009")
-    assert {f["status"] for f in third["files"]} == {"duplicate", "blocked"} and "lacks MRN, has Patient" in next(f["reason"] for f in third["files"] if f["status"] == "blocked")
-    assert third["changes"]["inserted"] == 1 and {r.q_status for r in store.read("fills_quarantine").where("fill_id = 'c'").collect()} == {"released"}
-    # Too many bad rows stop a load; a steward accepts it.
-    drop(inbox, "2024-01-19", "fills_20240119.csv", "Fill,MRN,Days", "b,00000002,60", "g,00000001,x", "h,00000001,y")
-    stopped = go("2024-01-19", 4, "00000001", "00000002", "00000009")
-    assert stopped["decision"] == "HOLD" and store.read("fills").where("fill_id = 'b'").first().days == 30
-    drop(inbox, "2024-01-20", "fills_20240119_r1.csv", "Fill,MRN,Days", "b,00000002,60", "g,00000001,7")
-    last = go("2024-01-20", 5, "00000001", "00000002", "00000009")
-    assert last["changes"]["updated"] == 1 and last["changes"]["inserted"] == 1 and store.read("fills").count() == 4
-
-
-def test_run_as_a_graph(spark, tmp_path):
-    inbox, store = tmp_path / "in", Store(spark, str(tmp_path / "store"))
-    inbox.mkdir()
-    drop(inbox, "2024-01-05", "fills_20240105.csv", "Fill,MRN,Days", "a,00000001,30")
-    known = lambda: spark.createDataFrame([("00000001",)], "patient_id string")
-    told = []
-    graph = lambda n: pipeline.feed_graph(spark, pipeline.Feed(CONTRACT, typed), str(inbox), store, date(2024, 1, 5), f"r{n}", known, lambda c: told.append(n))
-    first = {k: v["state"] for k, v in dag.run(graph(1), {}).items()}
-    assert first == {"sense": "success", "load": "success", "branch": "success", "publish": "success", "hold": "skipped", "downstream": "success", "report": "success"}
-    again = {k: v["state"] for k, v in dag.run(graph(2), {}).items()}
-    assert (again["publish"], again["downstream"], again["report"], told) == ("skipped", "skipped", "success", [1])
+    assert [(r.row_num, r.width, r.fields[0]) for r in rows.orderBy("row_num").collect()] == [(0, 3, "Fill"), (1, 3, "1"), (3, 2, "3"), (4, 4, "x, y")]
+    of_load = rows.withColumns({"load_id": F.lit("L"), "source": F.lit("fills"), "layout": F.lit(1)})
+    good, bad = files.canonical(of_load, CONTRACT)
+    assert [(r.fill_id, r.patient_id, r.days) for r in good.collect()] == [("1", "2", "a\nb")]
+    assert [r.detail for r in bad.orderBy("row_num").collect()] == ["2 fields, 3 expected", "4 fields, 3 expected"]
+    first = files.landed(spark, found.first().path, str(tmp_path / "lake"), "x.csv", found.first().sha256)
+    (day / "fills_20240104.csv").write_text("other")
+    other = files.contents(spark, [found.first().path]).select(F.sha2("content", 256).alias("d")).first().d
+    assert files.landed(spark, found.first().path, str(tmp_path / "lake"), "x.csv", other) != first and len(list((tmp_path / "lake").glob("x*.csv"))) == 2
 
 
 def test_graphs():
@@ -146,6 +108,11 @@ def test_graphs():
     assert states(t("a", run=lambda c: 1 / 0, retries=2), t("b", "a"), t("c", "b", rule="all_done")) == {"a": "failed", "b": "upstream_failed", "c": "success"}
     assert states(t("s", run=lambda c: False, kind="sensor"), t("x", "s"), t("y"), t("z", "x", "y", rule="none_failed_min_one_success")) == {"s": "skipped", "x": "skipped", "y": "success", "z": "success"}
     assert states(t("k", run=lambda c: "m", kind="branch"), t("m", "k"), t("n", "k")) == {"k": "success", "m": "success", "n": "skipped"}
+    polls = iter([False, False, True])
+    assert states(t("s", run=lambda c: next(polls), kind="sensor", wait=1, patience=5), t("x", "s")) == {"s": "success", "x": "success"}
+    context, told = {}, []
+    dag.run(dag.Dag("g", [t("go", run=lambda c: ["measures"], kind="trigger")]), context, record=told.append)
+    assert context["triggered"] == ["measures"] and (told[0]["graph"], told[0]["task"], told[0]["state"]) == ("g", "go", "success")
     for bad in ([t("a", "b"), t("b", "a")], [t("a", "no")], [t("a"), t("a")], [t("a", rule="odd")]):
         with pytest.raises(dag.DagError):
             dag.Dag("g", bad).order()
@@ -201,20 +168,20 @@ def test_planted_defects_are_caught_and_nothing_else(spark, tmp_path):
     rules_ = tuple(replace(r, params={k: v for k, v in r.params.items() if k != "block_if_rate_over"}) for r in CLAIMS.rules)
     contract = replace(CLAIMS, sources=(Source("claims", CLAIMS.sources[0].file_pattern, (layout,)),), rules=rules_)
 
-    def as_types(rows):
+    def as_types(rows, _):
         days = S.text("days_supply")
         return rows.select(
             S.text("claim_id").alias("claim_id"), S.text("patient_id").alias("patient_id"), S.text("fill_date").alias("fill_date_raw"), S.parsed_date("fill_date", "y-M-d").alias("fill_date"), F.lower(S.text("drug_name")).alias("drug_name"),
-            days.alias("days_supply_raw"), S.whole_number(days).alias("days_supply"), S.text("claim_status").alias("claim_status_raw"), S.mapped(STATUS, "claim_status").alias("claim_status"), "load_id", "row_num", "extract_date", "candidate",
+            days.alias("days_supply_raw"), S.whole_number(days).alias("days_supply"), S.text("claim_status").alias("claim_status_raw"), S.mapped(STATUS, "claim_status").alias("claim_status"), *CARRIED,
         )
 
     store = Store(spark, str(tmp_path / "store"))
     roster = spark.createDataFrame([(p,) for p in inbox.patients], "patient_id string")
-    feed = pipeline.Feed(contract, as_types, year=1997, closed_after=date(1998, 1, 15))
+    feed = Feed(contract, as_types, year=1997, closed_after=date(1998, 1, 15))
     for n, name in enumerate(inbox.files):
         day = date.fromisoformat(f"{name[7:11]}-{name[11:13]}-{name[13:15]}")
         done = pipeline.run_feed(spark, feed, str(tmp_path / "in"), store, day, f"run{n}", roster)
-        assert done["decision"] == "PUBLISH" and [f["status"] for f in done["files"]] == ["loaded"] and all(x["adds_up"] for x in done["loads"])
+        assert done["decision"] == "PUBLISH" and [x["state"] for x in done["loads"]] == ["published"]
     found = {(r.load_id.split("@")[0], r.row_num, r.rule_id) for r in store.read("claims_findings").select("load_id", "row_num", "rule_id").distinct().collect()}
     assert found == inbox.planted
     assert store.read("claims").count() == inbox.good
@@ -238,5 +205,8 @@ def test_described(spark, tmp_path):
 
     assert "| patient_id | direct_identifier |" in described.dictionary([CLAIMS])
     assert "10 rules: quarantine 8, repair 1, warn 1." in described.catalogue([CLAIMS])
+    from brindle.feeds import feeds
+
+    assert "63 rules: block 5, quarantine 39, repair 6, warn 13." in described.catalogue([f.contract for f in feeds().values()])
     assert {("summary", "results"), ("claims", "lines")} <= {tuple(r) for r in described.lineage(spark).collect()}
     assert described.stale(str(tmp_path / "no"), "x")

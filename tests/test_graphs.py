@@ -52,10 +52,10 @@ def test_commands(spark, store, tmp_path, capsys):
     assert cli.main(["queries"]) == 0 and "measure_summary" in capsys.readouterr().out
     assert cli.main(["query", "no"] + ["--tables", "x"], spark) == 2
     assert cli.main(["query", "current_patients", "--tables", "/root/testdata/sf0.001", "--rows", "1"], spark) == 0
-    assert cli.main(["--store", store.root, "accept", "L1", "--reason", "checked by phone"], spark) == 0
-    assert cli.decisions(store, "accept") == ["L1"] and cli.decisions(store, "waive") == []
-    with pytest.raises(ValueError, match="reason"):
-        cli.decide(store, "waive", "x", " ")
-    assert cli.main(["--store", store.root, "loads", "none"], spark) == 1
+    assert cli.main(["--store", store.root, "accept", "labs", "L1", "--reason", "checked by phone"], spark) == 2
+    assert cli.main(["--store", store.root, "loads", "labs"], spark) == 1 and cli.main(["--store", store.root, "held", "labs"], spark) == 1
+    assert cli.main(["--store", store.root, "dags"], spark) == 0 and "labs: sense, land" in capsys.readouterr().out
+    assert cli.main(["--store", store.root, "evidence", str(tmp_path / "evidence")], spark) == 0
+    assert (tmp_path / "evidence/measure_summary.csv").read_text().startswith("measure_id,")
     docs = str(tmp_path / "docs")
     assert [cli.main(["docs", docs, "--check"]), cli.main(["docs", docs]), cli.main(["docs", docs, "--check"])] == [1, 0, 0]
