@@ -225,14 +225,51 @@ def _union(t: Tables) -> DataFrame:
 
 query("scan_feed_inventory")(lambda t: files.discovered(t.spark, t.sf_dir, "*.parquet").select("name", "length", "sha256"))
 
-# --- streams
+# --- streams: events in files by user, so that later files bring rows of earlier days
+
+
+def _delivered(t: Tables, parts: int = 3) -> DataFrame:
+    folder = flows.delivered(t.events, f"{flows.work_folder(t.spark)}/in", F.pmod("event_id", F.lit(parts)), parts)
+    return flows.arriving(t.spark, folder, "*.parquet", t.events, files_at_once=1)
+
 
 query("stream_tumbling_counts", "select date_trunc('day', ts) as window_start, event_type, count(*) as n from events group by all")(
-    lambda t: flows.run_to_table(flows.tumbling_counts(flows.arriving(t.spark, t.sf_dir, "events.parquet", t.events), "ts", "1 day", "event_type", late="60 days"), flows.work_folder(t.spark))
+    lambda t: flows.run_to_table(flows.tumbling_counts(_delivered(t), "ts", "1 day", "event_type", late="60 days"), flows.work_folder(t.spark))
 )
+query("stream_sliding_counts", """
+    select date_trunc('day', ts) - to_days(cast(k as integer)) as window_start, event_type, count(*) as n from events, unnest([0, 1, 2]) as u(k) group by all""")(
+    lambda t: flows.run_to_table(flows.tumbling_counts(_delivered(t), "ts", "3 days", "event_type", late="60 days", slide="1 day"), flows.work_folder(t.spark))
+)
 query("stream_incremental_merge", "select user_id, event_id, event_type, value, props, ts from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")(
-    lambda t: flows.merged(flows.arriving(t.spark, t.sf_dir, "events.parquet", t.events), flows.work_folder(t.spark), "users", ["user_id"], ["ts", "event_id"])
+    lambda t: flows.merged(_delivered(t), flows.work_folder(t.spark), "users", ["user_id"], ["ts", "event_id"])
 )
+query("stream_first_of_key", "select user_id, event_type from events group by all")(
+    lambda t: flows.run_to_table(flows.once(_delivered(t), "ts", "user_id", "event_type", late="60 days"), flows.work_folder(t.spark), "append").select("user_id", "event_type")
+)
+
+
+def _late(t: Tables) -> DataFrame:
+    rows, late = flows.announced(_delivered(t), flows.work_folder(t.spark), F.col("ts") < F.lit("2024-01-10").cast("timestamp"), "closed period")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n")).join(late.groupBy(F.col("event_type").alias("e")).agg(F.count("*").alias("late")), F.col("event_type") == F.col("e"), "left").drop("e")
+
+
+query("stream_late_announced", "select event_type, count(*) as n, count(*) filter (ts < timestamp '2024-01-10') as late from events group by event_type")(_late)
+
+
+def _retried(t: Tables) -> DataFrame:
+    """An event passes once its user's first event, by id, is among those that came."""
+    first = t.events.groupBy("user_id").agg(F.min("event_id").alias("first"))
+
+    def passes(rows: DataFrame, before: DataFrame | None) -> DataFrame:
+        here = rows.select("event_id") if before is None else rows.select("event_id").unionByName(before.select("event_id"))
+        known = first.join(here, F.col("first") == F.col("event_id")).select(F.col("user_id").alias("u"))
+        return rows.join(known, F.col("user_id") == F.col("u"), "left").withColumn("ok", F.col("u").isNotNull()).drop("u")
+
+    passed, held = flows.retried(_delivered(t), flows.work_folder(t.spark), passes)
+    return passed.agg(F.count("*").alias("passed"), F.count_distinct("event_id").alias("distinct_passed")).crossJoin(held.agg(F.count("*").alias("held")))
+
+
+query("stream_held_rows", "select count(*) as passed, count(distinct event_id) as distinct_passed, cast(0 as bigint) as held from events")(_retried)
 
 # --- the copy for demonstrations and the gate before it
 
