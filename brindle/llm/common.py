@@ -122,10 +122,24 @@ def by_batch(
             for at in range(0, batch.num_rows, PART):
                 for out in rows(batch.slice(at, PART)):
                     yield pa.RecordBatch.from_pydict(out, schema=fields) if isinstance(out, dict) else out
+        given_back()
 
     return df.mapInArrow(run, schema)
 
 
+def given_back() -> None:
+    """Memory that a task used goes back to the system, since its worker waits for the next stage with all it has."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -183,5 +197,7 @@ def in_groups(
                 waiting, rows = [], 0
         if waiting:
             yield pa.RecordBatch.from_pydict({k: np.concatenate([w[k] for w in waiting]) for k in fields.names}, schema=fields)
+            del waiting[:]
+        given_back()
 
     return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)

@@ -157,6 +157,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             for x, y in zip(batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()), strict=True):
                 keep.append(jaccard(_set(x.as_py()), _set(y.as_py())) >= threshold)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        _set.cache_clear()
+        common.given_back()
 
     kind = pairs.schema["a"].dataType.simpleString()
     # Texts meet pairs by shuffles at any size; which side could be broadcast isn't left to chance.

@@ -152,10 +152,25 @@ class FingerprintIndex:
     # --- tables
 
     def _put(self, df: DataFrame, by: list[str], order: list[str], tag: str, level: int = 0) -> dict:
-        """Write a table bucketed by some columns and sorted in each bucket."""
+        """Write a table bucketed by some columns and sorted in each bucket, if an order is given."""
         name = f"brindle_{tag}_{uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{name}"
-        df.repartition(self.buckets, *by).write.bucketBy(self.buckets, *by).sortBy(*order).option("path", path).option("compression", "zstd").saveAsTable(name)
+        rows = df.repartition(self.buckets, *by).write.bucketBy(self.buckets, *by).option("path", path).option("compression", "zstd")
+        if order:
+            rows.sortBy(*order).saveAsTable(name)
+            return self._table(name, by, order, df, level)
+        # A task has one bucket and writes it as rows come; without this Spark would sort texts by bucket first.
+        key = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(key, "0")
+        self.spark.conf.set(key, "2")
+        try:
+            rows.saveAsTable(name)
+        finally:
+            self.spark.conf.set(key, before)
+        return self._table(name, by, order, df, level)
+
+    @staticmethod
+    def _table(name: str, by: list[str], order: list[str], df: DataFrame, level: int) -> dict:
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
         return {"name": name, "by": by, "order": order, "ddl": ddl, "level": level}
 
@@ -163,9 +178,9 @@ class FingerprintIndex:
         """A table, made known to this session if another one wrote it."""
         name = table["name"]
         if not self.spark.catalog.tableExists(name):
-            by, order = ", ".join(table["by"]), ", ".join(table["order"])
+            by, order = ", ".join(table["by"]), f"sorted by ({', '.join(table['order'])})" if table["order"] else ""
             self.spark.sql(
-                f"create table {name} ({table['ddl']}) using parquet clustered by ({by}) sorted by ({order}) into {self.buckets} buckets location '{self.root}/{name}'"
+                f"create table {name} ({table['ddl']}) using parquet clustered by ({by}) {order} into {self.buckets} buckets location '{self.root}/{name}'"
             )
         return self.spark.table(name)
 
@@ -190,7 +205,7 @@ class FingerprintIndex:
         """
         docs = batch.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         docs = docs.select("id", F.xxhash64("text").alias("copy"), "text")
-        texts = self._put(docs.where("id is not null"), ["id", "copy"], ["id", "copy"], "texts")
+        texts = self._put(docs.where("id is not null"), ["id", "copy"], [], "texts")
         every = common.written(entries(self._get(texts), self.window, self.gram), "entries")
         run = self._put(self._firsts(every), ["bucket"], ["bucket", "high", "low"], "run")
         marks = self._merged(every, run, texts)
