@@ -49,7 +49,8 @@ def typed_claims(t: Tables) -> DataFrame:
 
 @shared
 def evaluated(t: Tables) -> DataFrame:
-    staged = landed(typed_claims(t), "staged")
+    # The staged rows are spread by key, as their merge wants them, before they are judged.
+    staged = landed(typed_claims(t).repartition("load_id", *CLAIMS.natural_key), "staged")
     return landed(rules.evaluated(staged, CLAIMS, t.patients, model.YEAR, model.CLOSED_AFTER), "evaluated")
 
 
@@ -59,7 +60,7 @@ def stopped(t: Tables, accepted: tuple[str, ...] = ()) -> DataFrame:
 
 @shared
 def judged(t: Tables) -> DataFrame:
-    return landed(rules.with_status(evaluated(t), stopped(t)), "judged")
+    return rules.with_status(evaluated(t), stopped(t))
 
 
 PIECES |= {

@@ -25,12 +25,12 @@ def labs(t: Tables) -> DataFrame:
 
 @shared
 def screens(t: Tables) -> DataFrame:
-    return landed(curate.clean_screens(landed(curate.typed_screens(t.screens_text), "typed")), "screens")
+    return curate.clean_screens(landed(curate.typed_screens(t.screens_text), "screens"))
 
 
 @shared
 def events(t: Tables) -> DataFrame:
-    return landed(curate.screening_events(screens(t)), "events")
+    return curate.screening_events(screens(t))
 
 
 @shared

@@ -27,12 +27,12 @@ def _texts(t: Tables) -> DataFrame:
 
 @shared
 def _results(t: Tables) -> DataFrame:
-    return landed(marts.results(t), "results")
+    return landed(marts.results(t), "results")  # read by gaps, documents and the extract
 
 
 @shared
 def gaps(t: Tables) -> DataFrame:
-    return measures.care_gaps(t.patients, _results(t), marts.windows(t), marts.events(t))
+    return landed(measures.care_gaps(t.patients, _results(t), marts.windows(t), marts.events(t)), "gaps")
 
 
 PIECES |= {
@@ -135,7 +135,7 @@ def _runs_sql(n: int) -> str:
 
 for _name, _n in {"leak_name_bigrams": 2, "leak_word_runs": 8}.items():
     query(_name, _runs_sql(_n))(
-        lambda t, n=_n: deid.leaks(deid.word_runs(_texts(t), n), deid.word_runs(t.benchmark.select(F.col("item_id").alias("id"), "text"), n).select(F.col("run").alias("value")), "run").groupBy("id").agg(F.count("*").alias("runs"))
+        lambda t, n=_n: deid.shared_runs(_texts(t), t.benchmark.select(F.col("item_id").alias("id"), "text"), n).groupBy("id").agg(F.count("*").alias("runs"))
     )
 query("dangling_references", "select load_id, count(*) as rows, count(distinct patient_id) as patients from staged s where patient_id is not null and patient_id not in (select patient_id from patients) group by load_id")(
     lambda t: deid.dangling(feeds.evaluated(t).where("patient_id is not null"), t.patients, "patient_id").groupBy("load_id").agg(F.count("*").alias("rows"), F.count_distinct("patient_id").alias("patients"))
@@ -273,43 +273,88 @@ query("stream_held_rows", "select count(*) as passed, count(distinct event_id) a
 
 # --- the copy for demonstrations and the gate before it
 
-POLICY = {"attribution.care_manager_name": "digest", "demographics.birth_date": "shift_date", "visits[].appt_date": "shift_date", "screenings.*.screen_date": "shift_date", "labs.*.collected_date": "shift_date", "measures[].detail": "drop", "gaps[].detail": "drop"}
+POLICY = {
+    "contact.first_name": "name", "contact.last_name": "name", "contact.phone": "phone", "contact.email": "email", "contact.street": "street", "contact.zip": "zip_same_area",
+    "attribution.care_manager_name": "workforce", "demographics.birth_date": "shift_date", "visits[].appt_date": "shift_date", "screenings.*.screen_date": "shift_date", "labs.*.collected_date": "shift_date",
+    "measures[].detail": "shift_dates_in_text", "gaps[].detail": "shift_dates_in_text",
+}
+WORKLISTS = {"_id": "workforce", "patients[].patient_id": "surrogate", "patients[].gaps[].detail": "drop"}
+# Classes of the fields of documents.
+CLASSES = dict.fromkeys(("first_name", "last_name", "phone", "email", "street", "zip", "care_manager_name", "birth_date", "appt_date", "screen_date", "collected_date", "detail", "patient_id"), "direct_identifier") | dict.fromkeys(
+    ("site_id", "sex", "race_ethnicity", "language_group", "payer_type", "appointment_id", "visit_type", "total_score", "severity_band", "positive", "value", "measure_id", "numerator", "gap", "order", "n_patients", "n_gaps"), "clinical"
+)
+# The columns that an extract for research may have.
+ALLOWED = ("record_id", "birth_year", "age", "area3", "sex", "age_band", "payer_type", *(f"{m.lower()}_{k}" for m in MEASURE_IDS for k in ("eligible", "met")))
 
 
 @shared
 def _crosswalk(t: Tables) -> DataFrame:
     """Surrogates by digest: the same in every run, and no draw on the driver at this size."""
-    return t.patients.select(F.lit("patient").alias("kind"), F.col("patient_id").alias("value"), F.concat(F.lit("X"), F.left(F.sha2(F.concat(F.lit("copy/"), F.col("patient_id")), 256), F.lit(16))).alias("surrogate"))
+    return t.patients.select(F.lit("patient").alias("kind"), F.col("patient_id").alias("value"), leakgate.surrogate(F.col("patient_id")).alias("surrogate"))
 
 
-def _copied(t: Tables) -> DataFrame:
-    return leakgate.copied(_patient_documents(t), POLICY, _crosswalk(t))
+@shared
+def _full_documents(t: Tables) -> DataFrame:
+    docs = documents.patient_documents(t.patients, t.appointments, marts.events(t), marts.labs(t), gaps(t), _results(t), t.addresses)
+    return landed(docs, "documents")
 
 
-query("demo_site_copy", """
-    select 'X' || substr(sha256('copy/' || p.patient_id), 1, 16) as _id, substr(sha256('copy/' || care_manager_name), 1, 12) as care_manager, birth_date + s as birth_date, v.last + s as last_visit, coalesce(v.n, 0) as visits
-    from (select *, -(cast('0x' || substr(md5(patient_id), 1, 6) as integer) % 180) - 1 as s from patients) p left join (select patient_id, count(*) as n, max(appt_date) as last from appointments where status = 'completed' group by patient_id) v on v.patient_id = p.patient_id""")(
-    lambda t: _copied(t).select("_id", F.col("attribution.care_manager_name").alias("care_manager"), "demographics.birth_date", F.try_element_at("visits", F.lit(-1))["appt_date"].alias("last_visit"), F.size("visits").cast("long").alias("visits"))
-)
+def _last():
+    return F.try_element_at("visits", F.lit(-1))["appt_date"]
 
 
-def _gate(t: Tables) -> DataFrame:
-    docs = landed(_patient_documents(t), "documents")
-    copy = leakgate.copied(docs, POLICY, _crosswalk(t))
-    real = t.patients.select(F.lit("record").alias("kind"), F.col("patient_id").alias("value")).unionByName(t.patients.select(F.lit("name").alias("kind"), F.lower("patient_name").alias("value")))
-    last = F.try_element_at("visits", F.lit(-1))["appt_date"]
-    checks = leakgate.text_checks(copy, real)
-    checks.append(leakgate._check("every patient differs", copy.join(docs.select("_id"), "_id", "left_semi")))
-    checks.append(leakgate._check("one shift", leakgate.same_shift(docs, copy, _crosswalk(t), F.col("demographics.birth_date"), last)))
-    paths = {p: "direct_identifier" for p in POLICY}
-    checks.append(t.spark.createDataFrame([("policy covers paths", len(leakgate.uncovered(paths, POLICY)))], "check string, found long"))
-    checks.append(leakgate._check("references resolve", deid.dangling(gaps(t), t.patients, "patient_id")))
-    extract = _extract(t)
-    return leakgate.gate([*checks, *leakgate.extract_checks(extract, [*extract.columns])])
+query("demo_site_copy", """
+    select 'X' || substr(sha256('copy/' || p.patient_id), 1, 16) as _id, 'staff' || substr(sha256('copy/staff/' || care_manager_name), 1, 10) as care_manager, birth_date + s as birth_date, v.last + s as last_visit, coalesce(v.n, 0) as visits,
+        'name' || substr(sha256('copy/name/' || c.first_name), 1, 10) as first_name, 'm' || substr(sha256('copy/m/' || c.email), 1, 10) || '@copy.example' as email, substr(c.zip, 1, 3) as area, true as phone_changed
+    from (select *, -(cast('0x' || substr(md5(patient_id), 1, 6) as integer) % 180) - 1 as s from patients) p join addresses c on c.patient_id = p.patient_id
+    left join (select patient_id, count(*) as n, max(appt_date) as last from appointments where status = 'completed' group by patient_id) v on v.patient_id = p.patient_id""")(
+    lambda t: leakgate.copied(_full_documents(t), POLICY, _crosswalk(t)).select(
+        "_id", F.col("attribution.care_manager_name").alias("care_manager"), "demographics.birth_date", _last().alias("last_visit"), F.size("visits").cast("long").alias("visits"),
+        "contact.first_name", "contact.email", F.left("contact.zip", F.lit(3)).alias("area"), ((F.length("contact.phone") == 10) & F.col("contact.phone").startswith("000")).alias("phone_changed"),
+    )
+)
 
 
-_CHECKS = ("record numbers", "e-mail addresses", "phone numbers", "names", "streets", "every patient differs", "one shift", "policy covers paths", "references resolve", "columns allowed", "ages above 89", "areas of three digits")
-query("leak_gate", "select * from (values " + ", ".join(f"('{c}', 0::bigint, true)" for c in _CHECKS) + ") t(\"check\", found, passed)")(_gate)
+def _checked(t: Tables, planted: bool) -> DataFrame:
+    """The gate over the copy; ``planted`` puts a leak into it for every check."""
+    docs, known = _full_documents(t), _crosswalk(t)
+    copy = leakgate.copied(docs, POLICY, known)
+    lists = leakgate.transformed(documents.worklists(gaps(t)), WORKLISTS)
+    extract, policy, columns = _extract(t), dict(POLICY), None
+    refs = t.patients.select(leakgate.surrogate(F.col("patient_id")).alias("patient_id"))
+    if planted:
+        every = lambda n, c="_id": F.pmod(F.substring(c, 2, 7).cast("int"), F.lit(n)) == 0
+        real = docs.where(every(50))
+        moved = known.where(F.pmod(F.substring("value", 2, 7).cast("int"), F.lit(49)) == 0).select(F.col("surrogate").alias("_s"))
+        copy = copy.join(moved, F.col("_id") == F.col("_s"), "left")
+        copy = documents.at_path(copy, "demographics.birth_date", lambda c: F.when(F.col("_s").isNotNull(), F.date_add(c, 1)).otherwise(c)).drop("_s").unionByName(real)
+        policy.pop("contact.email")
+        refs = refs.join(known.where(F.pmod(F.substring("value", 2, 7).cast("int"), F.lit(7)) == 0).select(F.col("surrogate").alias("patient_id")), "patient_id", "left_anti")
+        extract = extract.withColumns({"age": F.when(F.col("sex") == "M", "90+").otherwise(F.col("age")), "area3": F.when(F.col("sex") == "X", F.concat("area3", F.lit("00"))).otherwise(F.col("area3")), "patient_name": F.lit("x")})
+    what = "planted" if planted else "copy"
+    copy, lists, extract = (landed(df, f"{what}_{n}") for df, n in ((copy, "patients"), (lists, "worklists"), (extract, "extract")))
+    checks = leakgate.text_checks([copy, lists], leakgate.real_values(t.addresses))
+    checks.append(leakgate._check("every patient differs", leakgate.unchanged(docs, copy, known, ["contact.phone", "contact.email", "contact.last_name", "contact.street"])))
+    checks.append(leakgate._check("one shift", leakgate.same_shift(docs, copy, known, F.col("demographics.birth_date"), _last())))
+    missing = leakgate.uncovered(docs, CLASSES, policy) + leakgate.uncovered(documents.worklists(gaps(t)), CLASSES, WORKLISTS)
+    checks.append(leakgate.said(t.spark, "policy covers paths", len(missing)))
+    named = lists.select(F.explode("patients").alias("p")).select(F.col("p.patient_id").alias("patient_id")).distinct()
+    checks.append(leakgate._check("references resolve", deid.dangling(named, refs, "patient_id")))
+    return leakgate.gate([*checks, *leakgate.extract_checks(extract, columns or ALLOWED)]).select(F.lit(what).alias("of"), "check", "found", "passed")
+
+
+_TEXTS = ("record numbers", "e-mail addresses", "phone numbers", "names", "streets", "every patient differs")
+_CHECKS = (*_TEXTS, "one shift", "policy covers paths", "references resolve", "columns allowed", "ages above 89", "areas of three digits")
+PIECES["planted_leaks"] = f"""
+    select unnest([{', '.join(f"'{c}'" for c in _TEXTS)}]) as "check", (select count(*) from patients where cast(patient_id as integer) % 50 = 0) as found
+    union all select 'one shift', (select count(distinct a.patient_id) from appointments a where status = 'completed' and cast(a.patient_id as integer) % 49 = 0)
+    union all select 'policy covers paths', 1 union all select 'columns allowed', 1
+    union all select 'references resolve', (select count(distinct patient_id) from gaps where cast(patient_id as integer) % 7 = 0)
+    union all select 'ages above 89', (select count(*) from facts where sex = 'M' and age_my_end < 90)
+    union all select 'areas of three digits', (select count(*) from facts where sex = 'X')"""
+query("leak_gate", """select 'planted' as of, "check", found, found = 0 as passed from planted_leaks union all select 'copy', "check", 0, true from planted_leaks""")(
+    lambda t: _checked(t, False).unionByName(_checked(t, True))
+)
 query("run_summary", """
     select o.rule_id, o.action, count(*) filter (outcome = 'pass') as loads_passed, count(*) filter (outcome = 'blocked') as loads_blocked, cast(sum(rows_failed) as bigint) as rows_failed, any_value(e.example) as example
     from outcomes o left join (select rule_id, min(case when regexp_matches(d, '^[0-9]{7,}$') then repeat('#', length(d)) when regexp_matches(d, '^[0-9]{7,}:.*$') then repeat('#', length(regexp_extract(d, '^[0-9]+'))) || substr(d, length(regexp_extract(d, '^[0-9]+')) + 1) else d end) as example

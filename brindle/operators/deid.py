@@ -77,12 +77,35 @@ def email_tokens(texts: DataFrame) -> DataFrame:
     return tokens(texts, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+").select("id", F.lower("token").alias("token")).distinct()
 
 
+def _words(text: str | Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}0-9]+)"), F.lit(1))
+
+
 def word_runs(texts: DataFrame, n: int) -> DataFrame:
     """(id, run): distinct runs of n lower-case words of each text."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}0-9]+)"), F.lit(1))
-    held = texts.select("id", words.alias("w"))
-    runs = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))
-    return held.where(F.size("w") >= n).select("id", F.explode(F.array_distinct(runs)).alias("run"))
+    held = texts.select("id", _words("text").alias("w")).where(F.size("w") >= n)
+    place = held.select("id", "w", F.explode(F.sequence(F.lit(1), F.size("w") - (n - 1))).alias("i"))
+    return place.select("id", F.array_join(F.slice("w", F.col("i"), F.lit(n)), " ").alias("run")).distinct()
+
+
+def shared_runs(texts: DataFrame, real: DataFrame, n: int) -> DataFrame:
+    """(id, run): distinct runs of n words that a text shares with a real one (id, text).
+
+    Runs meet as hashes, so the strings of all runs are never shuffled; of the few that meet the
+    words themselves are compared.
+    """
+
+    def hashed(df: DataFrame) -> DataFrame:
+        held = df.select("id", _words("text").alias("w")).where(F.size("w") >= n)
+        hashes = held.select("id", "w", F.posexplode(F.transform("w", lambda x: F.xxhash64(x))).alias("i", "h"))
+        # The words behind each one, gathered by looking ahead in the array that is there already.
+        ahead = [F.get(F.col("w"), F.col("i") + k) for k in range(n)]
+        return hashes.where(F.col("i") <= F.size("w") - n).select("id", F.xxhash64(*ahead).alias("h"), F.array_join(F.slice("w", F.col("i") + 1, F.lit(n)), " ").alias("run"))
+
+    known = hashed(real).select(F.col("h").alias("k"), F.col("run").alias("real")).distinct()
+    wanted = known.select("k").distinct()
+    mine = hashed(texts).join(wanted, F.col("h") == F.col("k"), "left_semi").distinct()
+    return mine.join(known, (F.col("h") == F.col("k")) & (F.col("run") == F.col("real")), "left_semi").select("id", "run")
 
 
 def leaks(found: DataFrame, real: DataFrame, token: str = "token") -> DataFrame:

@@ -16,8 +16,8 @@ def _listed(df: DataFrame, key: str, name: str, *fields: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
 
 
-def patient_documents(patients: DataFrame, appointments: DataFrame, events: DataFrame, labs: DataFrame, gaps: DataFrame, results: DataFrame) -> DataFrame:
-    """A document for each patient: attribution, visits, latest scores and labs, measures, gaps."""
+def patient_documents(patients: DataFrame, appointments: DataFrame, events: DataFrame, labs: DataFrame, gaps: DataFrame, results: DataFrame, contacts: DataFrame | None = None) -> DataFrame:
+    """A document for each patient: attribution, contact if given, visits, latest scores and labs, measures, gaps."""
     visits = _listed(appointments.where("status = 'completed'"), "patient_id", "visits", "appt_date", "appointment_id", "visit_type")
     latest = lambda df, by, value: df.where("is_most_recent").groupBy(F.col("patient_id").alias("_k")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(by), F.struct(*value))))).alias(by))
     scores = latest(events, "instrument", ("screen_date", "total_score", "severity_band", "positive"))
@@ -27,8 +27,12 @@ def patient_documents(patients: DataFrame, appointments: DataFrame, events: Data
     out = patients
     for part in (visits, scores.withColumnRenamed("instrument", "screenings"), values.withColumnRenamed("analyte", "labs"), met, due):
         out = out.join(part, F.col("patient_id") == F.col("_k"), "left").drop("_k")
+    reached = []
+    if contacts is not None:
+        out = out.join(contacts.select(F.col("patient_id").alias("_k"), F.struct("first_name", "last_name", "phone", "email", "street", "zip").alias("contact")), F.col("patient_id") == F.col("_k"), "left").drop("_k")
+        reached = ["contact"]
     return out.select(
-        F.col("patient_id").alias("_id"), F.struct("site_id", "care_manager_name").alias("attribution"), F.struct("sex", "race_ethnicity", "language_group", "payer_type", "birth_date").alias("demographics"),
+        F.col("patient_id").alias("_id"), *reached, F.struct("site_id", "care_manager_name").alias("attribution"), F.struct("sex", "race_ethnicity", "language_group", "payer_type", "birth_date").alias("demographics"),
         F.coalesce("visits", F.array().cast("array<struct<appt_date:date,appointment_id:bigint,visit_type:string>>")).alias("visits"), "screenings", "labs", "measures", F.coalesce("gaps", F.array().cast("array<struct<gap:string,detail:string>>")).alias("gaps"),
     )
 

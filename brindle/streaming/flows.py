@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.state import Store
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder in the place that all executors share; of its own in a local session without one."""
-    import tempfile
-
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="brindle-")
-    return f"{root.rstrip('/')}/streams/{uuid.uuid4().hex[:12]}"
+from ..sources.work import work_folder  # noqa: F401 (for those that run streams)
 
 
 def arriving(spark: SparkSession, folder: str, pattern: str, like: DataFrame, files_at_once: int = 64) -> DataFrame:
