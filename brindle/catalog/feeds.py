@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import feeds as network
 from .. import model
 from ..functions import scalars as S
 from ..model import Tables, landed, shared
 from ..operators import merge
 from ..plans import rules
 from ..plans.contracts import Contract, Layout, Rule, Source
+from ..reference import Reference
 from . import query
 from .oracle import PIECES
 
@@ -213,3 +215,72 @@ def _prints(t: Tables) -> DataFrame:
     return held.join(before, "extract_no", "left").select("extract_no", "n", "content_hash", F.coalesce(F.col("content_hash") != F.col("before"), F.lit(True)).alias("changed"))
 
 
+# --- the network's feeds over text made of the tables
+
+_REF = Reference()
+
+
+def _carried(text: DataFrame, row_num: str, extract: str) -> DataFrame:
+    """What the pipeline adds to raw rows; columns that a layout lacks are nulls."""
+    return text.select(
+        "*", F.lit("L1").alias("load_id"), F.col(row_num).alias("row_num"), F.lit("s").alias("source"), F.lit(1).alias("layout"), F.lit(extract).cast("date").alias("extract_date"),
+        F.lit(extract).cast("date").alias("arrival_date"), F.lit(0).alias("format_no"), F.lit("new").alias("candidate"),
+    )
+
+
+@shared
+def _typed_roster(t: Tables) -> DataFrame:
+    return landed(network.typed_roster(_carried(t.roster_text, "k", "1999-01-31"), _REF), "roster")
+
+
+def _cases(name: str, c: str) -> str:
+    """A code map as SQL."""
+    return f"case upper(trim({c})) " + " ".join(f"when '{code}' then '{value}'" for code, value in _REF.mapping(name).items()) + " end"
+
+
+_SITE_LIST = ", ".join(f"'{i}'" for i in _REF.site_ids)
+PIECES |= {
+    "roster_typed": f"""
+        select k as row_num, nullif(trim(patient_id), '') as patient_id, nullif(trim(last_name), '') as last_name, birth_date as birth_date_raw, cast(try_strptime(birth_date, '%Y-%m-%d') as date) as birth_date, trim(sex) as sex_raw,
+            {_cases('sex', 'sex')} as sex, case when ({_cases('ethnicity', 'ethnicity')}) = 'Hispanic or Latino' then 'Hispanic or Latino' else coalesce({_cases('race', 'race')}, 'Unknown') end as race_ethnicity,
+            {_cases('language', 'language')} as language, case when trim(language) = '' then 'Unknown' else coalesce(case ({_cases('language', 'language')}) when 'en' then 'English' when 'es' then 'Spanish' end, 'Other') end as language_group,
+            nullif(regexp_extract(zip, '^([0-9]{{5}})', 1), '') as zip, phone as phone_raw, case when length(regexp_replace(phone, '[^0-9]', '', 'g')) = 10 then regexp_replace(phone, '[^0-9]', '', 'g') end as phone,
+            nullif(payer_type, '') as payer_type_raw, {_cases('payer_type', 'payer_type')} as payer_type, nullif(upper(replace(problem_list, ' ', '')), '') as problem_list, site_id from roster_text""",
+    "roster_found": f"""
+        select row_num, 'ROS-002' as rule_id, 'repair' as action, patient_id as detail from roster_typed where regexp_full_match(patient_id, '[0-9]{{1,7}}')
+        union all select row_num, 'ROS-003', 'quarantine', 'last_name' from roster_typed where last_name is null
+        union all select row_num, 'ROS-005', 'quarantine', birth_date_raw from roster_typed where birth_date is null
+        union all select row_num, 'ROS-006', 'quarantine', cast(birth_date as varchar) from roster_typed where birth_date > date '1999-01-31' or birth_date < date '1900-01-01'
+        union all select row_num, 'ROS-007', 'repair', site_id from roster_typed where site_id <> upper(site_id)
+        union all select row_num, 'ROS-008', 'quarantine', upper(site_id) from roster_typed where upper(site_id) not in ({_SITE_LIST})
+        union all select row_num, 'ROS-009', 'quarantine', sex_raw from roster_typed where sex is null and sex_raw <> ''
+        union all select row_num, 'ROS-011', 'warn', phone_raw from roster_typed where phone is null
+        union all select row_num, 'ROS-013', 'warn', payer_type_raw from roster_typed where payer_type is null and payer_type_raw is not null""",
+    "labs_judged": """
+        select *, case when unit = '%' and analyte = 'HBA1C' or unit = 'mg/dL' and analyte = 'LDL' then round(number, 1) when unit = 'mmol/mol' and analyte = 'HBA1C' then round(number * cast(0.09148 as decimal(6, 5)) + cast(2.152 as decimal(4, 3)), 1) end as std
+        from (select lab_result_id, loinc_code, trim(result) as said, case loinc_code when '13457-7' then 'LDL' when '4548-4' then 'HBA1C' when '59261-8' then 'HBA1C' end as analyte,
+            coalesce(nullif(trim(units), ''), case loinc_code when '13457-7' then 'mg/dL' when '4548-4' then '%' when '59261-8' then 'mmol/mol' end) as unit, try_cast(regexp_replace(trim(result), '^[<>] ?', '') as decimal(10, 2)) as number from labs_coded) x""",
+}
+query("typed_roster", "select row_num, patient_id, last_name, birth_date, sex, race_ethnicity, language, language_group, zip, phone, payer_type, problem_list, site_id from roster_typed")(
+    lambda t: _typed_roster(t).select("row_num", "patient_id", "last_name", "birth_date", "sex", "race_ethnicity", "language", "language_group", "zip", "phone", "payer_type", "problem_list", "site_id")
+)
+query("roster_findings", "select row_num, rule_id, action, detail from roster_found")(
+    lambda t: rules.findings(rules.evaluated(_typed_roster(t), network.feeds(_REF)["roster"].contract)).drop("load_id")
+)
+
+
+@shared
+def _labs_found(t: Tables) -> DataFrame:
+    missing = [F.lit(None).cast("string").alias(c) for c in ("specimen_id", "abnormal_flag")]
+    text = t.labs_coded.select("lab_result_id", "patient_id", F.col("collected_date").cast("string").alias("collected_date"), "loinc_code", "result", "units", *missing)
+    typed = network.typed_labs(_carried(text, "lab_result_id", "2002-01-31"), _REF)
+    return rules.findings(rules.evaluated(landed(typed, "labs"), network.feeds(_REF)["labs"].contract, t.patients))
+
+
+query("labs_findings", """
+    select lab_result_id as row_num, 'LAB-007' as rule_id, loinc_code as detail from labs_judged where analyte is null
+    union all select lab_result_id, 'LAB-008', said from labs_judged where said <> '' and number is null
+    union all select lab_result_id, 'LAB-009', unit from labs_judged where analyte is not null and not coalesce(analyte = 'LDL' and unit = 'mg/dL' or analyte = 'HBA1C' and unit in ('%', 'mmol/mol'), false)
+    union all select lab_result_id, 'LAB-010', concat_ws(' ', analyte, said, unit) from labs_judged where std < case analyte when 'LDL' then 10 else 3 end or std > case analyte when 'LDL' then 400 else 20 end""")(
+    lambda t: _labs_found(t).select("row_num", "rule_id", "detail")
+)

@@ -119,6 +119,21 @@ TABLES = {
             case when claim_id % 2 = 0 then 'B' else 'A' end as source, cast(claim_id * 2 + case when claim_status = 'R' then 1 else 0 end as bigint) as row_num,
             case when claim_id % 139 = 0 then date '1995-01-01' else fill_date + 20 end as extract_date
         from claims""",
+    "roster_text": """
+        select c_custkey as k, case when c_custkey % 31 = 0 then cast(c_custkey as string) else ' ' || lpad(cast(c_custkey as string), 8, '0') end as patient_id, 'Given' as first_name, case when c_custkey % 53 = 0 then ' ' else c_name end as last_name,
+            case when c_custkey % 37 = 0 then '1990-02-30' when c_custkey % 59 = 0 then '1890-05-05' else cast(date '1915-01-01' + cast(c_custkey * 37 % 36000 as int) as string) end as birth_date,
+            case c_custkey % 5 when 0 then 'f' when 1 then ' MALE' when 2 then 'x' when 3 then 'U' else '?' end as sex, case c_custkey % 4 when 0 then 'White' when 1 then 'asian' when 2 then '' else 'Martian' end as race,
+            case c_custkey % 6 when 0 then 'Hispanic' when 1 then 'not hispanic or latino' else '' end as ethnicity, case c_custkey % 7 when 0 then 'ENG' when 1 then 'spa ' when 2 then 'KO' when 3 then '' else 'Klingon' end as language,
+            cast(c_custkey % 97 as string) || ' Oak Road' as address_line1, 'Easton' as city, case when c_custkey % 29 = 0 then '701' else cast(70000 + c_custkey % 700 as string) || case when c_custkey % 2 = 0 then '-0001' else '' end end as zip,
+            case when c_custkey % 41 = 0 then '555-12' else '(555) ' || lpad(cast(c_custkey % 1000 as string), 3, '0') || '-' || lpad(cast(c_custkey * 7 % 10000 as string), 4, '0') end as phone, '' as email,
+            case c_custkey % 6 when 0 then 'COMM' when 1 then 'govt' when 2 then 'Exchange' when 3 then 'self-pay' when 4 then 'barter' else '' end as payer_type,
+            case when c_custkey % 43 = 0 then 's' else 'S' end || lpad(cast(c_custkey % 14 + 1 as string), 2, '0') as site_id, 'Dr A' as pcp_name, 'CM' as care_manager_name,
+            case when c_custkey % 3 = 0 then 'e11.9; i10' else '' end as problem_list, '2020-01-01' as registration_date
+        from customer""",
+    "labs_coded": """
+        select lab_result_id, patient_id, collected_date, case when lab_result_id % 67 = 0 then '1234-5' when analyte = 'LDL' then '13457-7' when units = 'mmol/mol' then '59261-8' else '4548-4' end as loinc_code, result,
+            case when lab_result_id % 5 = 0 then '' when lab_result_id % 71 = 0 then '%' else units end as units
+        from labs_text""",
     "snapshots": """
         select v as extract_no, date '1998-01-31' + 28 * (v - 1) as extract_date, patient_id, case when (cast(patient_id as int) + v) % 17 = 0 then 'S' || lpad(cast((cast(patient_id as int) + v) % 25 as string), 2, '0') else site_id end as site_id,
             case when (cast(patient_id as int) * 7 + v) % 23 = 0 then 'CM99' else care_manager_name end as care_manager_name
