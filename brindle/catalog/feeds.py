@@ -188,16 +188,26 @@ query("attribution_history", "select patient_id, site_id, care_manager_name, val
 
 
 def _held(t: Tables) -> DataFrame:
-    """Rows held by the roster rule only, and a roster to which some of their patients have come."""
+    """Rows held by the roster rule only."""
     held = judged(t).where("rule_ids = 'C-008'")
     return held.select("claim_id", "claim_status", "patient_id", "load_id", "row_num")
 
 
+@shared
+def _rechecked(t: Tables) -> DataFrame:
+    """Those rows judged again by all rules, with a roster to which some of their patients have come."""
+    held = _held(t)
+    came = held.where("cast(substr(patient_id, 8, 1) as int) < 5").select("patient_id")
+    again = typed_claims(t).join(held.select("load_id", "row_num"), ["load_id", "row_num"], "left_semi")
+    rows = rules.evaluated(again, CLAIMS, t.patients.select("patient_id").unionByName(came), model.YEAR, model.CLOSED_AFTER)
+    return landed(rules.with_status(rows, t.spark.createDataFrame([], "load_id string")), "rechecked")
+
+
 query("quarantine_transitions", "select claim_id, claim_status, load_id, row_num, case when cast(substr(patient_id, 8, 1) as integer) < 5 then 'released' when row_num % 3 = 0 then 'superseded' else 'held' end as q_status from judged where rule_ids = 'C-008'")(
-    lambda t: merge.quarantine(_held(t), _held(t).where("cast(substr(patient_id, 8, 1) as int) < 5"), _held(t).where("row_num % 3 = 0"), ["load_id", "row_num"]).select("claim_id", "claim_status", "load_id", "row_num", "q_status")
+    lambda t: merge.quarantine(_held(t), _rechecked(t).where("dq_status = 'pass'"), _held(t).where("row_num % 3 = 0"), ["load_id", "row_num"]).select("claim_id", "claim_status", "load_id", "row_num", "q_status")
 )
 query("recheck_release", "select load_id, count(*) as rechecked, count(*) filter (cast(substr(patient_id, 8, 1) as integer) < 5) as released from judged where rule_ids = 'C-008' group by load_id")(
-    lambda t: _held(t).join(F.broadcast(t.spark.range(5).select(F.col("id").cast("string").alias("digit"))), F.substring("patient_id", 8, 1) == F.col("digit"), "left").groupBy("load_id").agg(F.count("*").alias("rechecked"), F.count("digit").alias("released"))
+    lambda t: _rechecked(t).groupBy("load_id").agg(F.count("*").alias("rechecked"), F.count_if(F.col("dq_status") == "pass").alias("released"))
 )
 query("superseded_loads", "select a.load_id, b.load_id as by_load from deliveries a join deliveries b on a.feed = b.feed and b.extract_date = a.extract_date + 1 where a.rows_passed < a.rows_raw and b.rows_passed = b.rows_raw")(
     lambda t: t.deliveries.where("rows_passed < rows_raw").alias("a").join(t.deliveries.where("rows_passed = rows_raw").alias("b"), (F.col("a.feed") == F.col("b.feed")) & (F.col("b.extract_date") == F.date_add("a.extract_date", 1))).select("a.load_id", F.col("b.load_id").alias("by_load"))
