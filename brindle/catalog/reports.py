@@ -322,6 +322,7 @@ query("demo_site_copy", """
 
 def _checked(t: Tables, planted: bool) -> DataFrame:
     """The gate over the copy; ``planted`` puts a leak into it for every check."""
+    model.land(t, "lines")  # labs and claims are made of them
     docs, known = _full_documents(t), _crosswalk(t)
     copy = leakgate.copied(docs, POLICY, known)
     lists = leakgate.transformed(documents.worklists(gaps(t)), WORKLISTS)

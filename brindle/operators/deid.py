@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,11 +81,46 @@ def _words(text: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}0-9]+)"), F.lit(1))
 
 
-def word_runs(texts: DataFrame, n: int) -> DataFrame:
-    """(id, run): distinct runs of n lower-case words of each text."""
-    held = texts.select("id", _words("text").alias("w")).where(F.size("w") >= n)
-    place = held.select("id", "w", F.explode(F.sequence(F.lit(1), F.size("w") - (n - 1))).alias("i"))
-    return place.select("id", F.array_join(F.slice("w", F.col("i"), F.lit(n)), " ").alias("run")).distinct()
+#: Bits of a sieve for each of its values, and the most words of 64 bits that it has (8 MB).
+SIEVE_BITS, SIEVE_WORDS = 16, 1 << 20
+
+
+def sieve(values: DataFrame) -> Callable[[Column], Column]:
+    """A test that each of the table's values passes, and few others: two bits a value in one bitmap.
+
+    The bitmap's size is bounded, so what passes has yet to meet the values themselves. It keeps
+    from a shuffle what can't be among them.
+    """
+    n, words = values.count(), 1 << 8
+    while words < SIEVE_WORDS and words * 64 < n * SIEVE_BITS:
+        words *= 2
+
+    def places(c: Column) -> list[tuple[Column, Column]]:
+        hashes = (F.xxhash64(c), F.xxhash64(c, F.lit(1)))
+        return [(F.pmod(h, F.lit(words)).cast("int"), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(63)).cast("int")) for h in hashes]
+
+    bit = lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)
+    marks = values.select(F.explode(F.array(*(F.struct(w.alias("at"), bit(b).alias("bits")) for w, b in places(F.col("value"))))).alias("m")).select("m.*")
+    every = values.sparkSession.range(words).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("long").alias("bits"))
+    held = marks.unionByName(every).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    bitmap = held.agg(F.array_sort(F.collect_list(F.struct("at", "bits")))["bits"].alias("bits")).scalar()
+
+    def passes(c: Column) -> Column:
+        (w0, b0), (w1, b1) = places(c)
+        return (F.bit_get(F.get(bitmap, w0), b0) == 1) & (F.bit_get(F.get(bitmap, w1), b1) == 1)
+
+    return passes
+
+
+def word_runs(texts: DataFrame, n: int | Sequence[int], among: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(id, run): distinct runs of n lower-case words of each text; of each of several n; only those that pass ``among``."""
+    sizes = [n] if isinstance(n, int) else sorted(n)
+    held = texts.select("id", _words("text").alias("w")).where(F.size("w") >= sizes[0])
+    place = held.select("id", "w", F.explode(F.sequence(F.lit(1), F.size("w") - (sizes[0] - 1))).alias("i"))
+    if len(sizes) > 1:
+        place = place.select("id", "w", "i", F.explode(F.array(*map(F.lit, sizes))).alias("n")).where(F.col("i") + F.col("n") - 1 <= F.size("w"))
+    out = place.select("id", F.array_join(F.slice("w", F.col("i"), F.col("n") if len(sizes) > 1 else F.lit(sizes[0])), " ").alias("run"))
+    return (out if among is None else out.where(among(F.col("run")))).distinct()
 
 
 def shared_runs(texts: DataFrame, real: DataFrame, n: int) -> DataFrame:

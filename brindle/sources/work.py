@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own switch: whether a query's shuffle files go as soon as it has ended.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def work_folder(spark: SparkSession, kind: str = "work") -> str:
     """A new folder in the place that all executors share; of its own in a local session without one."""
@@ -22,8 +27,20 @@ def work_folder(spark: SparkSession, kind: str = "work") -> str:
     return f"{root.rstrip('/')}/{kind}/{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile gives its shuffle files back at once; else they stay until the driver's garbage is collected."""
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREED) if before is None else spark.conf.set(_FREED, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table that was written: computed once, read by column, split over all cores."""
     path = f"{work_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    with freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,13 @@
 """The gate holds a copy for each kind of leak, and releases a clean one."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from brindle import catalog
-from brindle.operators import leakgate
+from brindle.operators import deid, leakgate
+from brindle.sources import work
 from brindle.sources.state import Store
 
 from .compare import TABLES, differences
@@ -36,6 +38,37 @@ def test_values_found_in_any_string(spark):
     assert got == {"record numbers": 1, "e-mail addresses": 1, "phone numbers": 1, "names": 1, "streets": 1}
 
 
+def test_runs_that_cant_be_real_are_not_shuffled(spark):
+    """Every real run passes the sieve, of 200,000 others less than one in twenty; runs of several lengths are those of each."""
+    real = spark.sql("select concat(id, ' oak', id, ' road') as value from range(5000)")
+    passes = deid.sieve(real)
+    assert real.where(passes(F.col("value"))).count() == 5000
+    assert spark.sql("select concat(id, ' elm', id, ' road') as run from range(200000)").where(passes(F.col("run"))).count() < 10_000
+    texts = spark.sql("select id, concat('at ', id, ' Oak', id, ' road, or ', id, ' elm', id, ' road or so') as text from range(6000)")
+    every = deid.word_runs(texts, 2).unionByName(deid.word_runs(texts, 3))
+    assert sorted(deid.word_runs(texts, (2, 3)).collect()) == sorted(every.collect())
+    found = deid.word_runs(texts, (2, 3), passes)
+    assert 5000 <= found.count() < every.count() / 15 and deid.leaks(found, real, "run").count() == 5000
+
+
+def test_a_sieve_of_nothing_passes_nothing(spark):
+    assert spark.range(99).where(deid.sieve(spark.createDataFrame([], "value string"))(F.col("id").cast("string"))).count() == 0
+
+
+def test_what_was_written_leaves_no_shuffle_behind(spark, tmp_path):
+    def left():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+    before = left()
+    rows = work.written(spark.range(1000).repartition(3, "id"), "x")
+    for _ in range(50):
+        if not (more := left() - before):
+            break
+        time.sleep(0.1)
+    assert not more and rows.count() == 1000
+
+
 def test_a_digest_that_reads_like_a_record_number_is_no_leak(spark):
     """Only as the whole word that the transforms made: the number by itself, or in another word, is found."""
     docs = spark.sql("""select 'X6b00004513c1a2f9' as _id, 'mx00004513@copy.example' as note union all select 'b', 'MRN00004513' union all select 'c', 'X6b00004513c1a2f9y'
