@@ -14,6 +14,7 @@ from ..operators import merge
 from ..plans import rules
 from ..plans.contracts import Contract, Layout, Rule, Source
 from ..reference import Reference
+from ..sources import work
 from . import query
 from .oracle import PIECES
 
@@ -51,9 +52,14 @@ def typed_claims(t: Tables) -> DataFrame:
 
 @shared
 def evaluated(t: Tables) -> DataFrame:
-    # The staged rows are spread by key, as their merge wants them, before they are judged.
-    staged = landed(typed_claims(t).repartition("load_id", *CLAIMS.natural_key), "staged")
-    return landed(rules.evaluated(staged, CLAIMS, t.patients, model.YEAR, model.CLOSED_AFTER), "evaluated")
+    """The staged claims, judged part by part and kept by key, as their merge wants them.
+
+    A claim's versions have its line's id, so they are in one part. The hash of a row follows from its
+    columns and takes more room than they do: it isn't kept but made again.
+    """
+    of = work.parts(t.lineitem)
+    made = (rules.evaluated(typed_claims(Tables(t.spark, t.sf_dir, (i, of))), CLAIMS, t.patients, model.YEAR, model.CLOSED_AFTER).drop("row_hash") for i in range(of))
+    return work.gathered(made, "evaluated", CLAIMS.natural_key).withColumn("row_hash", S.row_hash(CLAIMS.hash_columns))
 
 
 def stopped(t: Tables, accepted: tuple[str, ...] = ()) -> DataFrame:

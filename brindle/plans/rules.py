@@ -71,7 +71,7 @@ def evaluated(staged: DataFrame, contract: Contract, roster: DataFrame | None =
     ``roster`` has a row for each known patient_id; without one every patient is unknown. It is
     joined by a shuffle unless Spark sees that it is small.
     """
-    out = repaired(staged, contract).withColumn("row_hash", row_hash(contract.hash_columns or contract.columns))
+    out = repaired(staged, contract)
     kinds = {r.type for r in contract.row_rules}
     if "on_roster" in kinds:
         column = next(r.params["column"] for r in contract.row_rules if r.type == "on_roster")
@@ -80,6 +80,10 @@ def evaluated(staged: DataFrame, contract: Contract, roster: DataFrame | None =
         else:
             known = roster.select(F.col("patient_id").alias("known_id")).distinct()
             out = out.join(known, F.col(column) == F.col("known_id"), "left").withColumn("on_roster", F.col("known_id").isNotNull()).drop("known_id")
+    if "key_conflict" in kinds:
+        # Dealt by key before rows are hashed: the digests would be half of what is shuffled.
+        out = out.repartition(*contract.natural_key)
+    out = out.withColumn("row_hash", row_hash(contract.hash_columns or contract.columns))
     if "key_conflict" in kinds:
         # Windows hold nulls equal; two versions have a lowest and a highest hash that differ.
         same = Window.partitionBy("load_id", *contract.natural_key)

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +44,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     with freed(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A part is of so many bytes of input at least, and there are so many parts at most, since each reads the input again.
+PART_BYTES, MOST_PARTS = 32 << 20, 8
+
+
+def parts(source: DataFrame) -> int:
+    """In how many parts rows that follow from a table's files are made, so that the shuffles of one part alone are on disk."""
+    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, min(MOST_PARTS, size // PART_BYTES))
+
+
+def gathered(made: Iterable[DataFrame], name: str, key: Sequence[str]) -> DataFrame:
+    """Rows that are made part by part as one written table, bucketed by key: what goes by the key needs no more shuffle.
+
+    Each part is written, and gives its shuffle files back, before the next is begun.
+    """
+    path = table = None
+    for df in made:
+        spark = df.sparkSession
+        if path is None:
+            path = f"{work_folder(spark)}/{name}"
+            table, buckets = f"brindle_{name}_{uuid.uuid4().hex[:12]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+        with freed(spark):
+            df.write.mode("append").bucketBy(buckets, *key).option("path", path).option("compression", "zstd").saveAsTable(table)
+    return spark.table(table)
