@@ -119,7 +119,9 @@ def with_status(rows: DataFrame, blocked: DataFrame) -> DataFrame:
     """Rows with status pass, quarantine or blocked, and the ids of the rules that hold them."""
     held = F.filter("findings", lambda f: f["action"] == "quarantine")
     ids = F.array_join(F.array_sort(F.array_distinct(F.transform(held, lambda f: f["rule_id"]))), ",")
-    out = rows.join(blocked.select(F.col("load_id").alias("stopped")).distinct(), F.col("load_id") == F.col("stopped"), "left")
+    # A row for each stopped load: joined by shuffle, all rows would be dealt by their few loads.
+    stopped = F.broadcast(blocked.select(F.col("load_id").alias("stopped")).distinct())
+    out = rows.join(stopped, F.col("load_id") == F.col("stopped"), "left")
     status = F.when(F.col("stopped").isNotNull(), "blocked").when(F.size(held) > 0, "quarantine").otherwise("pass")
     return out.withColumn("dq_status", status).withColumn("rule_ids", F.nullif(ids, F.lit(""))).drop("stopped")
 

@@ -47,3 +47,21 @@ def test_lines_of_two_orders_with_one_id_are_in_one_part(spark, in_parts, tmp_pa
     lines.unionByName(far).write.parquet(str(tmp_path / "lineitem.parquet"))
     assert work.parts(Tables(spark, str(tmp_path)).lineitem) > 2
     assert not differs(spark, "row_hash", tmp_path) and not differs(spark, "rule_key_conflict", tmp_path)
+
+
+@pytest.fixture
+def no_small_tables(spark):
+    """No table is joined by broadcast because it happens to be small."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", ["row_status"])
+def test_rows_are_not_dealt_by_load(spark, in_parts, no_small_tables, name):
+    plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join [load_id" in x and "[stopped" in x]
+    assert joins and all("BroadcastHashJoin" in x for x in joins)
+    assert not differs(spark, name)
