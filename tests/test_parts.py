@@ -59,7 +59,7 @@ def no_small_tables(spark):
     spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("name", ["row_status", "load_counters", "gate_decisions"])
+@pytest.mark.parametrize("name", ["row_status", "load_counters", "reconciliation", "gate_decisions"])
 def test_rows_are_not_dealt_by_load(spark, in_parts, no_small_tables, name):
     plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     joins = [x for x in plan.splitlines() if "Join [load_id" in x and "[stopped" in x]
