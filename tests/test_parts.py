@@ -65,3 +65,8 @@ def test_rows_are_not_dealt_by_load(spark, in_parts, no_small_tables, name):
     joins = [x for x in plan.splitlines() if "Join [load_id" in x and "[stopped" in x]
     assert joins and all("BroadcastHashJoin" in x for x in joins)
     assert not differs(spark, name)
+
+
+def test_the_latest_rows_take_no_shuffle_by_key(spark, in_parts, no_small_tables):
+    assert [x for x in exchanges(catalog.QUERIES["latest_by_key"](spark, SMALL)) if "claim_id" in x] == []
+    assert not differs(spark, "latest_by_key")
