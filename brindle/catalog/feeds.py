@@ -193,10 +193,11 @@ query("attribution_history", "select patient_id, site_id, care_manager_name, val
 )
 
 
+@shared
 def _held(t: Tables) -> DataFrame:
-    """Rows held by the roster rule only."""
+    """Rows held by the roster rule only, as they were typed and repaired."""
     held = judged(t).where("rule_ids = 'C-008'")
-    return held.select("claim_id", "claim_status", "patient_id", "load_id", "row_num")
+    return landed(held.drop("findings", "row_hash", "dq_status", "rule_ids"), "held")
 
 
 @shared
@@ -204,8 +205,7 @@ def _rechecked(t: Tables) -> DataFrame:
     """Those rows judged again by all rules, with a roster to which some of their patients have come."""
     held = _held(t)
     came = held.where("cast(substr(patient_id, 8, 1) as int) < 5").select("patient_id")
-    again = typed_claims(t).join(held.select("load_id", "row_num"), ["load_id", "row_num"], "left_semi")
-    rows = rules.evaluated(again, CLAIMS, t.patients.select("patient_id").unionByName(came), model.YEAR, model.CLOSED_AFTER)
+    rows = rules.evaluated(held, CLAIMS, t.patients.select("patient_id").unionByName(came), model.YEAR, model.CLOSED_AFTER)
     return landed(rules.with_status(rows, t.spark.createDataFrame([], "load_id string")), "rechecked")
 
 

@@ -70,3 +70,10 @@ def test_rows_are_not_dealt_by_load(spark, in_parts, no_small_tables, name):
 def test_the_latest_rows_take_no_shuffle_by_key(spark, in_parts, no_small_tables):
     assert [x for x in exchanges(catalog.QUERIES["latest_by_key"](spark, SMALL)) if "claim_id" in x] == []
     assert not differs(spark, "latest_by_key")
+
+
+def test_held_rows_are_judged_again_without_the_others(spark, in_parts):
+    t = Tables(spark, SMALL)
+    assert feeds._rechecked(t).count() == feeds._held(t).count() > 0
+    assert not {x for x in t.__dict__ if x.endswith("typed_claims")}
+    assert not differs(spark, "recheck_release")
