@@ -77,3 +77,10 @@ def test_held_rows_are_judged_again_without_the_others(spark, in_parts):
     assert feeds._rechecked(t).count() == feeds._held(t).count() > 0
     assert not {x for x in t.__dict__ if x.endswith("typed_claims")}
     assert not differs(spark, "recheck_release")
+
+
+def test_transitions_of_held_rows_equal_sql(spark, in_parts, no_small_tables):
+    """All that is joined are held rows: the plan reads no table of all claims."""
+    plan = catalog.QUERIES["quarantine_transitions"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "/held" in plan and "/evaluated" not in plan and "brindle_evaluated" not in plan
+    assert not differs(spark, "quarantine_transitions")
